@@ -9,6 +9,7 @@ from tidemark.functions.columns import (
     micros_of,
     money,
     next_status,
+    price,
     timestamp_of_micros,
 )
 
@@ -21,5 +22,6 @@ __all__ = [
     "micros_of",
     "money",
     "next_status",
+    "price",
     "timestamp_of_micros",
 ]

@@ -22,8 +22,13 @@ def cents(amount: Column | str) -> Column:
 
 
 def money(whole_cents: Column | str) -> Column:
-    """Whole cents as decimal(20,2)."""
-    return (_col(whole_cents).cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(20,2)")
+    """Whole cents as decimal(22,2), which holds any bigint."""
+    return _col(whole_cents).cast("decimal(19,0)") * F.lit("0.01").cast("decimal(2,2)")
+
+
+def price(amount: Column | str) -> Column:
+    """A single amount as decimal(18,2), a decimal that fits one machine word."""
+    return cents(amount).cast("decimal(15,0)") * F.lit("0.01").cast("decimal(2,2)")
 
 
 def timestamp_of_micros(micros: Column | str) -> Column:

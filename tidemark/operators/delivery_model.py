@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,12 +40,12 @@ def order_features(orders: DataFrame, items: DataFrame, customers: DataFrame) ->
 def fit_delivery_model(features: DataFrame) -> PipelineModel:
     """Linear regression on the delivered orders.
 
-    The features are a few columns, so the normal equations take one
-    distributed pass and a matrix of fixed size.
+    States are hashed into a vector of fixed size, so no list of them is
+    gathered, and the normal equations take one distributed pass and a matrix
+    of fixed size.
     """
     stages = [
-        StringIndexer(inputCol="state", outputCol="state_index", handleInvalid="keep"),
-        OneHotEncoder(inputCol="state_index", outputCol="state_vector", handleInvalid="keep"),
+        FeatureHasher(inputCols=["state"], outputCol="state_vector", numFeatures=256),
         VectorAssembler(inputCols=[*_NUMBERS, "state_vector"], outputCol="features"),
         LinearRegression(
             featuresCol="features",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import cents, date_key, elapsed_hours, money
+from tidemark.functions import cents, date_key, elapsed_hours, money, price
 from tidemark.operators.silver import translate_category
 
 ORDER_TIMES = (
@@ -126,9 +126,9 @@ def fact_order_items(items: DataFrame, orders: DataFrame, customers: DataFrame)
         "order_status",
         "purchase_date_key",
         date_key("shipping_limit_date").alias("shipping_limit_date_key"),
-        money(cents("price")).alias("price"),
-        money(cents("freight_value")).alias("freight"),
-        money(cents("price") + cents("freight_value")).alias("price_and_freight"),
+        price("price").alias("price"),
+        price("freight_value").alias("freight"),
+        (price("price") + price("freight_value")).alias("price_and_freight"),
     )
 
 
@@ -144,7 +144,7 @@ def fact_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
         "payment_installments",
         "customer_id",
         "purchase_date_key",
-        money(cents("payment_value")).alias("payment_value"),
+        price("payment_value").alias("payment_value"),
     )
 
 

@@ -130,27 +130,24 @@ def with_previous(
 
     ``previous`` is a struct, null at the start of a history. Histories are cut
     into log segments, so not even a key holding most of the log forms one
-    group: neighbours are found inside each segment, and the first row of a
-    segment takes the last value of the key's segment before. Positions must be
+    group: neighbours are found inside each segment, and only the first and
+    last row of each segment are looked at across segments. Positions must be
     unique per key.
     """
-    rows = log.select(key, order, value).withColumn("_segment", F.floor(F.col(order) / segment))
+    rows = log.select(key, order, value, F.floor(F.col(order) / segment).alias("_segment"))
+    # Named explicitly so that both parts below read one and the same shuffle.
+    rows = rows.repartition(key, "_segment")
     inside = Window.partitionBy(key, "_segment").orderBy(order)
-    placed = rows.withColumns(
-        {
-            "_value": F.struct(value),
-            "_before": F.lag(F.struct(value)).over(inside),
-            "_after": F.lead(F.struct(value)).over(inside),
-        }
-    )
-    ends = placed.where(F.col("_after").isNull()).select(
-        key,
-        "_segment",
-        F.lag("_value").over(Window.partitionBy(key).orderBy("_segment")).alias("_carried"),
-    )
-    return placed.join(ends, [key, "_segment"]).select(
-        key, order, value, F.coalesce("_before", "_carried").alias("previous")
+    before, after = F.lag(F.struct(value)).over(inside), F.lead(F.struct(value)).over(inside)
+    across = Window.partitionBy(key).orderBy(order)
+
+    within = rows.withColumn("previous", before).where(F.col("previous").isNotNull())
+    ends = rows.withColumns({"_before": before, "_after": after}).where(
+        F.col("_before").isNull() | F.col("_after").isNull()
     )
+    starts = ends.withColumn("previous", F.lag(F.struct(value)).over(across)).where(F.col("_before").isNull())
+    columns = [key, order, value, "previous"]
+    return within.select(*columns).unionAll(starts.select(*columns))
 
 
 def illegal_transitions(

@@ -100,6 +100,12 @@ def flat(events: DataFrame) -> DataFrame:
     return cdc.normalize(cdc.decode_changes(events, CHANGE_SCHEMA), CHANGE_SCHEMA)
 
 
+def third_of_files(b: Bindings, root: str, table: str = "orders") -> int:
+    """A micro-batch size that takes about three batches, however long the log is."""
+    files = change_log.read_changes(b.spark, root, table, CHANGE_SCHEMA).inputFiles()
+    return -(-len(files) // 3)
+
+
 def run_to_parquet(stream: DataFrame, root: str) -> None:
     """Process what is there, resuming from the checkpoint below ``root``."""
     writer = stream.writeStream.format("parquet").option("path", f"{root}/out")
@@ -227,9 +233,13 @@ def routed(b: Bindings) -> DataFrame:
 def change_log_sink(b):
     root = scratch_dir(b.spark, "log-sink")
     change_log.write_changes(routed(b), root, "all")
-    stream = log.read_change_stream(b.spark, root, "all", CHANGE_SCHEMA, max_files=16)
+    stream = log.read_change_stream(b.spark, root, "all", CHANGE_SCHEMA, third_of_files(b, root, "all"))
     log.write_change_log(
-        change_log.route_changes(stream, "shop").drop("topic"), f"{root}/log", f"{root}/checkpoint", interval=None
+        change_log.route_changes(stream, "shop").drop("topic"),
+        f"{root}/log",
+        f"{root}/checkpoint",
+        interval=None,
+        events_per_file=1_000_000,  # the whole log at once, not five minutes of it
     ).awaitTermination()
     return quality.report(
         *(
@@ -278,7 +288,7 @@ def materialize(b):
     tables.create_layers(b.spark, root, prefix)
     customers = tables.materialize(b.customers(), "bronze", "customers", prefix)
     places = tables.materialize(silver.geolocation_unique(b.geolocation()), "silver", "geolocation", prefix)
-    customers = tables.materialize(customers, "silver", "customers", prefix, bucket_keys=["customer_id"], buckets=8)
+    customers = tables.materialize(customers, "silver", "customers", prefix, bucket_keys=["customer_id"])
     return tables.materialize(gold.dim_customers(customers, places), "gold", "dim_customers", prefix)
 
 
@@ -626,7 +636,7 @@ def resume(b):
 @query("o53_micro_batches")
 def micro_batches(b):
     root = write_log(b, b.changes(), "batches")
-    run_to_parquet(open_stream(b, root, max_files=8), root)
+    run_to_parquet(open_stream(b, root, third_of_files(b, root)), root)
     return b.spark.read.parquet(f"{root}/out").groupBy("op").agg(
         F.count("*").alias("events"), F.sum("lsn").alias("sum_lsn")
     )
@@ -635,7 +645,7 @@ def micro_batches(b):
 @query("o54_dedupe_stream")
 def dedupe_stream(b):
     root = write_log(b, redelivered(b), "dedupe")
-    stream = flat(log.read_change_stream(b.spark, root, "orders", CHANGE_SCHEMA, max_files=16))
+    stream = open_stream(b, root, third_of_files(b, root))
     # A delete carries only its key, so the event time comes from the envelope.
     timed = stream.withColumn("event_time", F.timestamp_millis("ts_ms"))
     run_to_parquet(state.dedupe_stream(timed, STREAM_DELAY), root)
@@ -644,7 +654,12 @@ def dedupe_stream(b):
 
 def upserted(b: Bindings, root: str) -> DataFrame:
     state.upsert_stream(
-        open_stream(b, root, max_files=12), f"{root}/state", ["key"], f"{root}/checkpoint", interval=None, compact_every=2
+        open_stream(b, root, third_of_files(b, root)),
+        f"{root}/state",
+        ["key"],
+        f"{root}/checkpoint",
+        interval=None,
+        compact_every=2,
     ).awaitTermination()
     return state.read_state(b.spark, f"{root}/state", ["key"]).select("key", "lsn", "op", "status", "event_time", "value")
 

@@ -22,13 +22,19 @@ def read_snapshots(spark: SparkSession, root: str) -> Frames:
     }
 
 
-def read_change_logs(spark: SparkSession, root: str) -> Frames:
-    """Flat, typed changes of the captured tables; a table without a folder has none."""
+def read_change_logs(spark: SparkSession, root: str, staging: str) -> Frames:
+    """Flat, typed changes of the captured tables; a table without a folder has none.
+
+    Kept as Parquet below ``staging``: the merges read a log more than once,
+    and only some of its columns, while JSON is parsed whole on every read.
+    """
     logs = {}
     for name in schemas.CDC_TABLES:
         schema = schemas.get_schema(name)
         events = change_log.read_changes_or_empty(spark, root, name, schema)
-        logs[name] = cdc.normalize(cdc.decode_changes(events, schema), schema)
+        changes = cdc.normalize(cdc.decode_changes(events, schema), schema)
+        changes.write.mode("overwrite").parquet(f"{staging}/{name}")
+        logs[name] = spark.read.parquet(f"{staging}/{name}")
     return logs
 
 
@@ -100,7 +106,7 @@ def run_layers(spark: SparkSession, root: str, warehouse: str, prefix: str = "")
     snapshots = {
         name: tables.materialize(df, "bronze", name, prefix) for name, df in read_snapshots(spark, root).items()
     }
-    current = current_tables(snapshots, read_change_logs(spark, root))
+    current = current_tables(snapshots, read_change_logs(spark, root, f"{warehouse}/staged"))
     stored = {
         name: tables.materialize(df, "silver", name, prefix) for name, df in build_silver(current).items()
     }

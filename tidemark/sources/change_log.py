@@ -140,7 +140,7 @@ def to_envelope(
     )
 
 
-def write_changes(events: DataFrame, root: str, table: str, mode: str = "append", rows_per_file: int = 10_000) -> str:
+def write_changes(events: DataFrame, root: str, table: str, mode: str = "append", rows_per_file: int = 1_000_000) -> str:
     """Add events to the table's log; ``events`` needs the column ``dt``.
 
     An ``epoch`` column becomes a folder above the days. The rebalance hint

@@ -69,12 +69,13 @@ def materialize(
     name: str,
     prefix: str = "",
     bucket_keys: Sequence[str] = (),
-    buckets: int = 0,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Bronze models become views, silver and gold models tables rebuilt in full.
 
     A table bucketed by the key it is joined on later needs no shuffle for
-    that join. Bucket only by unique keys: a repeated key would put all its
+    that join. There are as many buckets as the session has shuffle partitions
+    unless given. Bucket only by unique keys: a repeated key would put all its
     rows into one writing task.
     """
     spark = df.sparkSession
@@ -85,11 +86,12 @@ def materialize(
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}")
     full_name = f"`{prefix}{layer}`.`{name}`"
-    if buckets:
+    if bucket_keys:
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         # One writing task per bucket instead of one file per bucket and task.
         df = df.repartition(buckets, *bucket_keys)
     writer = df.write.mode("overwrite").format("parquet")
-    if buckets:
+    if bucket_keys:
         writer = writer.bucketBy(buckets, *bucket_keys).sortBy(*bucket_keys)
     writer.saveAsTable(full_name)
     return spark.table(full_name)
