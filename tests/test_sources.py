@@ -55,9 +55,19 @@ def test_load_csv_fails_as_a_whole(spark, root, line):
         csv_files.load_csv(spark, f"{root}/s.csv", get_schema("sellers")).collect()
 
 
-def test_load_csv_without_line_breaks_can_be_split(spark, root):
-    put(f"{root}/s.csv", "a,b,c,d\n" + "".join(f"s{i},{i},x,y\n" for i in range(100)))
-    assert csv_files.load_csv(spark, f"{root}/s.csv", get_schema("sellers"), multiline=False).count() == 100
+def test_file_without_quoted_line_breaks_is_split(spark, root):
+    put(f"{root}/s.csv", "a,b,c,d\n" + "".join(f's{i},{i},"x ""{i}"", ","y"\n' for i in range(2000)))
+    assert not csv_files.has_quoted_line_breaks(spark, f"{root}/s.csv")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 10_000)
+    try:
+        split = csv_files.load_csv(spark, f"{root}/s.csv", get_schema("sellers"))
+        whole = csv_files.load_csv(spark, f"{root}/s.csv", get_schema("sellers"), multiline=True)
+        assert split.rdd.getNumPartitions() > 1 == whole.rdd.getNumPartitions()
+        assert sorted(split.collect()) == sorted(whole.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    put(f"{root}/m.csv", 'a,b,c,d\ns1,1,"x\ny",z\n')
+    assert csv_files.has_quoted_line_breaks(spark, f"{root}/m.csv")
 
 
 def test_snapshot_round_trip(spark, root):

@@ -98,12 +98,13 @@ def test_empty_folder_then_files(spark, tmp_path):
     assert spark.read.parquet(f"{root}/out").count() == 2
 
 
-def test_dedupe_across_files(spark, tmp_path):
+@pytest.mark.parametrize("spread_by", ["source_file", None])
+def test_dedupe_across_files(spark, tmp_path, spread_by):
     root = str(tmp_path)
     source = stream(spark, root, 1).withColumn("event_time", F.timestamp_millis("ts_ms"))
     for _ in range(2):
         deliver(spark, root, [change("a", 1), change("b", 2), change("b", 2)])
-        out = state.dedupe_stream(source, "1 hour").writeStream.format("parquet").option("path", f"{root}/out")
+        out = state.dedupe_stream(source, "1 hour", spread_by=spread_by).writeStream.format("parquet").option("path", f"{root}/out")
         log.start(out, f"{root}/checkpoint", None).awaitTermination()
         deliver(spark, root, [change("b", 2, day=1), change("c", 3, day=1)])
     log.start(out, f"{root}/checkpoint", None).awaitTermination()

@@ -1,7 +1,8 @@
 """Change-log processing.
 
 A flat change row holds the table's columns plus ``op`` (c, u, d or r), its
-log position ``lsn`` and, as delivered, ``ts_ms``, ``table`` and ``dt``. State
+log position ``lsn`` and, as delivered, ``ts_ms``, ``table``, ``dt`` and
+``source_file``. State
 kept between merges has the same form, deletes included: a deleted key must
 remember its position, or a late older update would revive it.
 """
@@ -33,7 +34,7 @@ def decode_changes(events: DataFrame, schema: T.StructType) -> DataFrame:
         else:
             column = F.coalesce(after, before)
         columns.append(column.alias(f.name))
-    folders = [F.col(c) for c in ("epoch", "dt") if c in events.columns]
+    folders = [F.col(c) for c in ("epoch", "dt", "source_file") if c in events.columns]
     return events.where(F.col("op").isNotNull()).select(
         *columns,
         "op",

@@ -6,7 +6,8 @@ fails. Rules that look at one row at a time share one pass over their table.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections import defaultdict
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import allowed_transitions, required_columns
+from tidemark.schemas import FOREIGN_KEYS, allowed_transitions, required_columns
 
 # One log segment of 16 MiB: no more positions than this share a window.
 LOG_SEGMENT = 1 << 24
@@ -66,28 +67,60 @@ def check_unique(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
 
 
 def check_fk(child: DataFrame, table: str, column: str, parent: DataFrame, parent_table: str, parent_column: str) -> DataFrame:
-    """Every non-null reference has a parent; counts child rows.
+    """Every non-null reference has a parent; counts child rows."""
+    return check_fks(parent, parent_table, parent_column, [(child, table, column)])
 
-    References are counted per value before the join, so a value held by very
-    many rows is one row there.
+
+def check_fks(
+    parent: DataFrame, parent_table: str, parent_column: str, children: Sequence[tuple[DataFrame, str, str]]
+) -> DataFrame:
+    """All references to one parent: a row per child ``(frame, table, column)``.
+
+    Keys and references are counted together, value by value, in one
+    aggregation instead of a join per child. Counting starts before the
+    shuffle, so a value held by very many rows is one row there.
     """
-    references = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("ref")).agg(F.count("*").alias("n"))
-    parents = parent.select(F.col(parent_column).alias("ref")).distinct().withColumn("found", F.lit(True))
-    return (
-        references.join(parents, "ref", "left")
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
-            F.coalesce(F.sum(F.when(F.col("found").isNull(), F.col("n"))), F.lit(0)).alias("failed"),
-        )
-        .select(
-            F.lit(table).alias("table"),
-            F.lit(f"{column} in {parent_table}").alias("rule"),
-            "checked",
-            "failed",
+    values = parent.select(F.col(parent_column).alias("ref"), F.lit(-1).alias("child"))
+    for number, (df, _, column) in enumerate(children):
+        references = df.where(F.col(column).isNotNull())
+        values = values.unionAll(references.select(F.col(column).alias("ref"), F.lit(number).alias("child")))
+    numbers = range(len(children))
+    per_value = values.groupBy("ref").agg(
+        F.max(F.col("child") == -1).alias("found"),
+        *(F.count_if(F.col("child") == i).alias(f"rows_{i}") for i in numbers),
+    )
+    totals = per_value.agg(
+        *(F.coalesce(F.sum(f"rows_{i}"), F.lit(0)).alias(f"checked_{i}") for i in numbers),
+        *(
+            F.coalesce(F.sum(F.when(~F.col("found"), F.col(f"rows_{i}"))), F.lit(0)).alias(f"failed_{i}")
+            for i in numbers
+        ),
+    )
+    return totals.select(
+        F.inline(
+            F.array(
+                *(
+                    F.struct(
+                        F.lit(table).alias("table"),
+                        F.lit(f"{column} in {parent_table}").alias("rule"),
+                        F.col(f"checked_{i}").alias("checked"),
+                        F.col(f"failed_{i}").alias("failed"),
+                    )
+                    for i, (_, table, column) in enumerate(children)
+                )
+            )
         )
     )
 
 
+def check_foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """All foreign keys of the fixed schemas, one aggregation per parent."""
+    children = defaultdict(list)
+    for child, column, parent, key in FOREIGN_KEYS:
+        children[parent, key].append((tables[child], child, column))
+    return report(*(check_fks(tables[parent], parent, key, refs) for (parent, key), refs in children.items()))
+
+
 def validate_table(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
     """Table exists, has exactly the schema's columns and types, and has rows.
 

@@ -30,9 +30,13 @@ class Bindings:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table; its file footers are looked at once."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._raw[name]
 
     def _places(self) -> DataFrame:
         return self.raw("nation").join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))

@@ -545,12 +545,7 @@ def check_required(b):
 
 @query("o43_check_fk")
 def check_fk(b):
-    return quality.report(
-        *(
-            quality.check_fk(getattr(b, child)(), child, column, getattr(b, parent)(), parent, parent_column)
-            for child, column, parent, parent_column in schemas.FOREIGN_KEYS
-        )
-    )
+    return quality.check_foreign_keys({name: getattr(b, name)() for name in schemas.SCHEMAS})
 
 
 @query("o44_check_length")

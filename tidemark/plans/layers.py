@@ -91,8 +91,7 @@ def check_tables(current: Mapping[str, DataFrame]) -> DataFrame:
         rules.append(quality.check_rows(df, name, per_row))
         if name in schemas.KEYS:
             rules.append(quality.check_unique(df, name, schemas.KEYS[name]))
-    for child, column, parent, key in schemas.FOREIGN_KEYS:
-        rules.append(quality.check_fk(current[child], child, column, current[parent], parent, key))
+    rules.append(quality.check_foreign_keys(current))
     rules.append(quality.check_item_sequence(current["order_items"]))
     return quality.report(*rules)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Comma-delimited, double quotes doubled inside quoted values, line breaks
@@ -31,14 +32,25 @@ def snapshot_path(root: str, table: str) -> str:
     return f"{root}/{table}/snapshot"
 
 
-def load_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True) -> DataFrame:
+def has_quoted_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a record goes over several lines: some line then holds an odd number of quotes.
+
+    Reads plain lines, so any file is split; stops at the first hit.
+    """
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
+def load_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool | None = None) -> DataFrame:
     """Read CSV by column position; any row that does not fit fails the load.
 
-    A file with line breaks inside quotes cannot be split, so with
-    ``multiline`` one task reads one file: keep files to a few hundred MB, as
-    ``write_snapshot`` does. Pass ``multiline=False`` for a large single file
-    known to have one record per line; a quoted line break then fails the load.
+    A file with line breaks inside quotes cannot be split: one task reads one
+    file, so such tables should come in files of a few hundred MB, as
+    ``write_snapshot`` makes them. Unless ``multiline`` says so, the files are
+    looked through first, and split if no record needs the unsplit reader.
     """
+    if multiline is None:
+        multiline = has_quoted_line_breaks(spark, path)
     options = {**CSV_OPTIONS, "multiLine": str(multiline).lower(), "mode": "FAILFAST"}
     return spark.read.schema(schema).options(**options).csv(path)
 

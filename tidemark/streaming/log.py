@@ -27,14 +27,15 @@ def read_change_stream(
 ) -> DataFrame:
     """Events of one table as they arrive; the folder is created if missing.
 
-    ``max_files`` bounds the files, and so the size, of a micro-batch.
+    ``max_files`` bounds the files, and so the size, of a micro-batch. The
+    file each event came from is kept as ``source_file``.
     """
     path = change_log_path(root, table)
     make_folder(spark, path)
     reader = spark.readStream.schema(log_schema(schema, folders))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return reader.json(path).select("*", F.col("_metadata.file_path").alias("source_file"))
 
 
 def with_delivery_day(stream: DataFrame) -> DataFrame:

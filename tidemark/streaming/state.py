@@ -22,14 +22,29 @@ from tidemark.streaming.log import ROLL_INTERVAL, start
 
 
 def dedupe_stream(
-    stream: DataFrame, delay: str, event_time: str = "event_time", identity: Sequence[str] = ("table", "lsn")
+    stream: DataFrame,
+    delay: str,
+    event_time: str = "event_time",
+    identity: Sequence[str] = ("table", "lsn"),
+    spread_by: str | None = "source_file",
+    spread: int = 32,
 ) -> DataFrame:
     """First delivery of each event, with state kept for ``delay`` of event time.
 
     ``delay`` must cover both how late a copy may come and how far out of
     order events arrive: older events count as too late and are dropped.
+
+    A streaming deduplication moves every copy of an event to one task. So
+    that an event repeated very often does not hold it up, copies are first
+    reduced within ``spread`` groups of files, which leaves at most that many.
+    The group comes from the row itself: a repeated task sends it to the same
+    place.
     """
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(identity))
+    stream = stream.withWatermark(event_time, delay)
+    if spread_by:
+        stream = stream.withColumn("_spread", F.pmod(F.xxhash64(spread_by), F.lit(spread)))
+        stream = stream.dropDuplicatesWithinWatermark([*identity, "_spread"]).drop("_spread")
+    return stream.dropDuplicatesWithinWatermark(list(identity))
 
 
 def latest_image_stream(stream: DataFrame, keys: Sequence[str], order: str = "lsn") -> DataFrame:
@@ -66,7 +81,7 @@ def _merged(spark: SparkSession, path: str, keys: Sequence[str], base: int | Non
 def apply_batch(changes: DataFrame, batch_id: int, path: str, keys: Sequence[str], compact_every: int = 20) -> None:
     """Add one micro-batch to the stored state; repeating a batch changes nothing."""
     spark = changes.sparkSession
-    latest_image(changes, keys).write.mode("overwrite").parquet(f"{path}/delta/{batch_id:09d}")
+    latest_image(changes.drop("source_file"), keys).write.mode("overwrite").parquet(f"{path}/delta/{batch_id:09d}")
     if (batch_id + 1) % compact_every == 0:
         compact(spark, path, keys, batch_id)
 
