@@ -65,12 +65,13 @@ def order(order_id, status):
 
 def test_transitions_step_by_step(spark):
     orders = spark.createDataFrame(
-        [order(i, s) for i, s in [("a", "created"), ("b", "processing"), ("c", "shipped"), ("d", "created")]], get_schema("orders")
+        [order(i, s) for i, s in [("a", "created"), ("b", "processing"), ("c", "shipped"), ("d", "created"), ("e", "created")]], get_schema("orders")
     )
     at = [DAY + dt.timedelta(hours=h) for h in range(10)]
     events = [("a", h, at[h], False) for h in range(9, 0, -1)]
     events += [("b", 1, at[1], False), ("b", 2, at[2], True), ("b", 3, at[3], False)]
     events += [("c", 1, at[1], True)]
+    events += [("e", 1, None, False), ("e", 2, at[2], None)]
     result = silver.apply_transition(
         orders, spark.createDataFrame(events, "order_id string, lsn long, at timestamp_ntz, cancel boolean")
     )
@@ -80,6 +81,7 @@ def test_transitions_step_by_step(spark):
         "b": ("canceled", None, None, None),
         "c": ("delivered", None, None, at[1]),
         "d": ("created", None, None, None),
+        "e": ("processing", None, None, None),
     }
 
 

@@ -86,6 +86,7 @@ def apply_transition(orders: DataFrame, events: DataFrame) -> DataFrame:
         "_step", F.row_number().over(Window.partitionBy("order_id").orderBy("lsn"))
     ).where(F.col("_step") <= steps)
     per_order = ranked.groupBy("order_id").agg(
+        F.max("_step").alias("_events"),
         *(F.max(F.when(F.col("_step") == k, F.col("at"))).alias(f"_at{k}") for k in range(1, steps + 1)),
         *(F.max(F.when(F.col("_step") == k, F.col("cancel"))).alias(f"_cancel{k}") for k in range(1, steps + 1)),
     )
@@ -96,7 +97,7 @@ def apply_transition(orders: DataFrame, events: DataFrame) -> DataFrame:
     }
     result = orders.join(per_order, "order_id", "left")
     for k in range(1, steps + 1):
-        happened = F.col(f"_at{k}").isNotNull()
+        happened = F.coalesce(F.col("_events") >= k, F.lit(False))
         moved = next_status("order_status", F.coalesce(F.col(f"_cancel{k}"), F.lit(False)))
         result = result.withColumn("_next", F.when(happened, moved).otherwise(F.col("order_status")))
         changed = happened & (F.col("_next") != F.col("order_status"))

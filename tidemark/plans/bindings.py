@@ -7,9 +7,7 @@ states the same shapes in SQL.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tidemark.functions import cents
+from pyspark.sql.types import StructType
 
 TRANSLATIONS = [
     ("ECONOMY", "economy"),
@@ -19,9 +17,8 @@ TRANSLATIONS = [
     ("SMALL", "small"),
 ]
 
-# Event type -> operation and order status.
-OPERATIONS = {"signup": "c", "error": "d"}
-STATUSES = {"signup": "created", "view": "approved", "click": "processing", "purchase": "shipped"}
+# Schemas found in file footers, by path: looked up once per process.
+_FOUND: dict[str, StructType] = {}
 
 
 class Bindings:
@@ -30,42 +27,42 @@ class Bindings:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        """A given table; its file footers are looked at once."""
-        if name not in self._raw:
-            self._raw[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return self._raw[name]
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _FOUND:
+            _FOUND[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_FOUND[path]).parquet(path)
 
-    def _places(self) -> DataFrame:
-        return self.raw("nation").join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    def _with_places(self, df: DataFrame, nation_key: str) -> DataFrame:
+        """Adds n_name and r_name."""
+        places = self.raw("nation").withColumnRenamed("n_regionkey", "r_regionkey").join(self.raw("region"), "r_regionkey")
+        return df.join(places.withColumnRenamed("n_nationkey", nation_key), nation_key)
 
     def customers(self) -> DataFrame:
-        return self.raw("customer").join(self._places(), F.col("c_nationkey") == F.col("n_nationkey")).select(
-            F.col("c_custkey").cast("string").alias("customer_id"),
-            (F.col("c_custkey") % 1000).cast("string").alias("customer_unique_id"),
-            F.col("c_nationkey").alias("customer_zip_code_prefix"),
-            F.col("n_name").alias("customer_city"),
-            F.col("r_name").alias("customer_state"),
+        return self._with_places(self.raw("customer"), "c_nationkey").selectExpr(
+            "CAST(c_custkey AS STRING) AS customer_id",
+            "CAST(c_custkey % 1000 AS STRING) AS customer_unique_id",
+            "c_nationkey AS customer_zip_code_prefix",
+            "n_name AS customer_city",
+            "r_name AS customer_state",
         )
 
     def sellers(self) -> DataFrame:
-        return self.raw("supplier").join(self._places(), F.col("s_nationkey") == F.col("n_nationkey")).select(
-            F.col("s_suppkey").cast("string").alias("seller_id"),
-            F.col("s_nationkey").alias("seller_zip_code_prefix"),
-            F.col("n_name").alias("seller_city"),
-            F.col("r_name").alias("seller_state"),
+        return self._with_places(self.raw("supplier"), "s_nationkey").selectExpr(
+            "CAST(s_suppkey AS STRING) AS seller_id",
+            "s_nationkey AS seller_zip_code_prefix",
+            "n_name AS seller_city",
+            "r_name AS seller_state",
         )
 
     def geolocation(self) -> DataFrame:
-        city = F.when(F.col("c_custkey") % 3 == 0, F.upper("n_name")).otherwise(F.lower("n_name"))
-        return self.raw("customer").join(self._places(), F.col("c_nationkey") == F.col("n_nationkey")).select(
-            F.col("c_nationkey").alias("geolocation_zip_code_prefix"),
-            (F.col("c_acctbal") / 100).alias("geolocation_lat"),
-            (-F.col("c_acctbal") / 50).alias("geolocation_lng"),
-            city.alias("geolocation_city"),
-            F.col("r_name").alias("geolocation_state"),
+        return self._with_places(self.raw("customer"), "c_nationkey").selectExpr(
+            "c_nationkey AS geolocation_zip_code_prefix",
+            "c_acctbal / 100 AS geolocation_lat",
+            "-c_acctbal / 50 AS geolocation_lng",
+            "IF(c_custkey % 3 = 0, upper(n_name), lower(n_name)) AS geolocation_city",
+            "r_name AS geolocation_state",
         )
 
     def product_category_name_translation(self) -> DataFrame:
@@ -74,93 +71,72 @@ class Bindings:
         )
 
     def products(self) -> DataFrame:
-        return self.raw("part").select(
-            F.col("p_partkey").cast("string").alias("product_id"),
-            F.when(F.col("p_partkey") % 50 != 0, F.col("p_type")).alias("product_category_name"),
-            F.length("p_name").alias("product_name_length"),
-            F.col("p_size").alias("product_weight_g"),
-            F.col("p_retailprice").alias("product_length_cm"),
+        return self.raw("part").selectExpr(
+            "CAST(p_partkey AS STRING) AS product_id",
+            "IF(p_partkey % 50 = 0, NULL, p_type) AS product_category_name",
+            "length(p_name) AS product_name_length",
+            "p_size AS product_weight_g",
+            "p_retailprice AS product_length_cm",
         )
 
     def orders(self) -> DataFrame:
-        status, day = F.col("o_orderstatus"), F.col("o_orderdate")
-        return self.raw("orders").select(
-            F.col("o_orderkey").cast("string").alias("order_id"),
-            F.col("o_custkey").cast("string").alias("customer_id"),
-            F.when(status == "F", "delivered").when(status == "P", "shipped").otherwise("created").alias("order_status"),
-            day.alias("order_purchase_timestamp"),
-            F.when((status != "O") & (F.col("o_orderkey") % 100 != 7), day + F.expr("INTERVAL '6' HOUR")).alias(
-                "order_approved_at"
-            ),
-            F.when(status != "O", day + F.expr("INTERVAL '2' DAY")).alias("order_delivered_carrier_date"),
-            F.when((status == "F") & (F.col("o_orderkey") % 3 == 0), day + F.expr("INTERVAL '9' DAY"))
-            .when(status == "F", day + F.expr("INTERVAL '5' DAY"))
-            .alias("order_delivered_customer_date"),
-            (day + F.expr("INTERVAL '8' DAY")).alias("order_estimated_delivery_date"),
+        return self.raw("orders").selectExpr(
+            "CAST(o_orderkey AS STRING) AS order_id",
+            "CAST(o_custkey AS STRING) AS customer_id",
+            "CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'P' THEN 'shipped' ELSE 'created' END AS order_status",
+            "o_orderdate AS order_purchase_timestamp",
+            "IF(o_orderstatus <> 'O' AND o_orderkey % 100 <> 7, o_orderdate + INTERVAL '6' HOUR, NULL) AS order_approved_at",
+            "IF(o_orderstatus <> 'O', o_orderdate + INTERVAL '2' DAY, NULL) AS order_delivered_carrier_date",
+            """CASE WHEN o_orderstatus = 'F' AND o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL '9' DAY
+                    WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL '5' DAY END AS order_delivered_customer_date""",
+            "o_orderdate + INTERVAL '8' DAY AS order_estimated_delivery_date",
         )
 
     def order_items(self) -> DataFrame:
-        return self.raw("lineitem").select(
-            F.col("l_orderkey").cast("string").alias("order_id"),
-            F.col("l_linenumber").alias("order_item_id"),
-            F.col("l_partkey").cast("string").alias("product_id"),
-            F.col("l_suppkey").cast("string").alias("seller_id"),
-            F.col("l_shipdate").alias("shipping_limit_date"),
-            F.col("l_extendedprice").alias("price"),
-            (cents(F.col("l_extendedprice") * F.col("l_tax")) / 100).alias("freight_value"),
+        return self.raw("lineitem").selectExpr(
+            "CAST(l_orderkey AS STRING) AS order_id",
+            "l_linenumber AS order_item_id",
+            "CAST(l_partkey AS STRING) AS product_id",
+            "CAST(l_suppkey AS STRING) AS seller_id",
+            "l_shipdate AS shipping_limit_date",
+            "l_extendedprice AS price",
+            "floor(l_extendedprice * l_tax * 100 + 0.5D) / 100 AS freight_value",
         )
 
     def payments(self) -> DataFrame:
         """One payment per order, equal to its items except for every tenth order."""
-        owed = (
-            self.raw("lineitem")
-            .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-            .agg(F.sum(cents("l_extendedprice") + cents(F.col("l_extendedprice") * F.col("l_tax"))).alias("owed"))
-        )
-        kind = (
-            F.when(F.col("o_orderpriority").startswith("1"), "voucher")
-            .when(F.col("o_orderpriority").startswith("2"), "debit_card")
-            .when(F.col("o_orderpriority").startswith("3"), "boleto")
-            .otherwise("credit_card")
+        owed = self.raw("lineitem").selectExpr(
+            "l_orderkey AS o_orderkey",
+            "floor(l_extendedprice * 100 + 0.5D) + floor(l_extendedprice * l_tax * 100 + 0.5D) AS cents",
         )
-        return self.raw("orders").join(owed, "o_orderkey", "left").select(
-            F.col("o_orderkey").cast("string").alias("order_id"),
-            F.lit(1).alias("payment_sequential"),
-            kind.alias("payment_type"),
-            F.lit(1).alias("payment_installments"),
-            F.when(F.col("owed").isNull() | (F.col("o_orderkey") % 10 == 0), F.col("o_totalprice"))
-            .otherwise(F.col("owed") / 100)
-            .alias("payment_value"),
+        owed = owed.groupBy("o_orderkey").sum("cents").withColumnRenamed("sum(cents)", "owed")
+        return self.raw("orders").join(owed, "o_orderkey", "left").selectExpr(
+            "CAST(o_orderkey AS STRING) AS order_id",
+            "1 AS payment_sequential",
+            """CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'voucher' WHEN '2' THEN 'debit_card'
+                    WHEN '3' THEN 'boleto' ELSE 'credit_card' END AS payment_type""",
+            "1 AS payment_installments",
+            "IF(owed IS NULL OR o_orderkey % 10 = 0, o_totalprice, owed / 100) AS payment_value",
         )
 
     def order_reviews(self) -> DataFrame:
-        return (
-            self.raw("conversations")
-            .where(F.col("role") == "user")
-            .select(
-                F.col("conv_id").cast("string").alias("review_id"),
-                F.col("conv_id").cast("string").alias("order_id"),
-                (F.lit(1) + F.length("text") % 5).alias("review_score"),
-                F.lit(None).cast("string").alias("review_comment_title"),
-                F.col("text").alias("review_comment_message"),
-            )
+        return self.raw("conversations").where("role = 'user'").selectExpr(
+            "CAST(conv_id AS STRING) AS review_id",
+            "CAST(conv_id AS STRING) AS order_id",
+            "1 + length(text) % 5 AS review_score",
+            "CAST(NULL AS STRING) AS review_comment_title",
+            "text AS review_comment_message",
         )
 
     def changes(self) -> DataFrame:
         """The events as a change log of orders: position, key, operation, status."""
-        kind = F.col("event_type")
-        operation = F.lit("u")
-        for name, op in OPERATIONS.items():
-            operation = F.when(kind == name, op).otherwise(operation)
-        status = F.lit("canceled")
-        for name, value in STATUSES.items():
-            status = F.when(kind == name, value).otherwise(status)
-        return self.raw("events").select(
-            F.col("event_id").alias("lsn"),
-            F.col("user_id").alias("key"),
-            F.col("ts").alias("event_time"),
-            F.col("ts").cast("date").alias("dt"),
-            operation.alias("op"),
-            status.alias("status"),
+        return self.raw("events").selectExpr(
+            "event_id AS lsn",
+            "user_id AS key",
+            "ts AS event_time",
+            "CAST(ts AS DATE) AS dt",
+            "CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op",
+            """CASE event_type WHEN 'signup' THEN 'created' WHEN 'view' THEN 'approved' WHEN 'click' THEN 'processing'
+                    WHEN 'purchase' THEN 'shipped' ELSE 'canceled' END AS status""",
             "value",
         )
