@@ -193,7 +193,6 @@ def unique_rule(table: str, keys: str, source: str | None = None) -> str:
 
 
 def fk_rule(child: str, column: str, parent: str, key: str, child_source: str | None = None, parent_source: str | None = None) -> str:
-    orphan = f"count(*) FILTER (NOT EXISTS (SELECT 1 FROM {parent_source or parent} p WHERE p.{key} = c.{column}))"
     return (
         f"SELECT '{child}' AS \"table\", '{column} in {parent}' AS rule, count({column}) AS checked,"
         f" CAST(count({column}) - (SELECT count(*) FROM {child_source or child} c"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -33,8 +34,9 @@ def build_session(
 ) -> SparkSession:
     """Session with the settings the operators are tuned for.
 
-    ``shuffle_partitions`` is the upper bound AQE coalesces down from; on a
-    large cluster give a few times the total core count.
+    ``shuffle_partitions`` is the upper bound AQE coalesces down from. AQE
+    splits partitions only for joins, so for large inputs give about the
+    shuffled bytes divided by 200 MB, and at least the number of cores.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -51,8 +53,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
     A local temporary folder is used only if the session names no shared one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")

@@ -76,7 +76,9 @@ def materialize(
     A table bucketed by the key it is joined on later needs no shuffle for
     that join. There are as many buckets as the session has shuffle partitions
     unless given. Bucket only by unique keys: a repeated key would put all its
-    rows into one writing task.
+    rows into one writing task. And do not bucket a table that is joined to one
+    with very frequent keys: AQE splits those only where both sides are
+    shuffled.
     """
     spark = df.sparkSession
     if layer == "bronze":
