@@ -132,6 +132,21 @@ def test_read_changes_ignores_unknown_fields_and_null_lines(spark, root):
     assert inferred.schema["dt"].dataType.simpleString() == "date"
 
 
+@pytest.mark.parametrize("fixed", [True, False])
+def test_changes_table_takes_up_new_days(spark, root, prefix, fixed):
+    schema = get_schema("sellers") if fixed else None
+    put(f"{root}/sellers/cdc/dt=2026-01-21/a.json", SELLER_EVENT)
+    name = tables.create_changes_table(spark, "sellers", root, f"{prefix}bronze", schema)
+    assert spark.table(name).count() == 1
+    assert spark.table(name).schema["dt"].dataType.simpleString() == "date"
+    assert ("rating" in spark.table(name).select("after.*").columns) == (not fixed)
+    put(f"{root}/sellers/cdc/dt=2026-01-22/a.json", SELLER_EVENT)
+    tables.create_changes_table(spark, "sellers", root, f"{prefix}bronze", schema)
+    late = spark.table(name).where("dt = DATE '2026-01-22'")
+    assert late.count() == 1 and spark.table(name).count() == 2
+    assert "PartitionFilters: [isnotnull(dt" in late._jdf.queryExecution().executedPlan().toString()
+
+
 def test_day_filter_skips_folders(spark, root):
     put(f"{root}/sellers/cdc/dt=2026-01-21/a.json", SELLER_EVENT)
     put(f"{root}/sellers/cdc/dt=2026-01-22/a.json", SELLER_EVENT)

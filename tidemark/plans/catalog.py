@@ -208,6 +208,15 @@ def read_changes(b):
     )
 
 
+@query("o09_changes_table")
+def changes_table(b):
+    root = write_log(b, b.changes(), "cdc-table")
+    prefix = f"cdc_table_{root[-12:]}_"
+    tables.create_layers(b.spark, root, prefix)
+    name = tables.create_changes_table(b.spark, "orders", root, f"{prefix}bronze", CHANGE_SCHEMA)
+    return flat(b.spark.table(name)).select("lsn", "key", "op", "status", "event_time", "value", "dt")
+
+
 @query("o10_partition_discovery")
 def partition_discovery(b):
     root = write_log(b, b.changes(), "partitions")

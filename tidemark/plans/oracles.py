@@ -283,6 +283,7 @@ _ORACLES = {
     "o07_snapshot_tables": "SELECT name, rows FROM tables_v",
     "o08_quoted_csv": "SELECT CAST(doc_id AS VARCHAR) AS review_id, text AS review_comment_message FROM documents",
     "o09_read_changes": f"SELECT {IMAGE}, CAST(dt AS VARCHAR) AS dt FROM changes",
+    "o09_changes_table": f"SELECT {IMAGE}, CAST(dt AS VARCHAR) AS dt FROM changes",
     "o10_partition_discovery": """
         SELECT CAST(dt AS VARCHAR) AS dt, count(*) AS events, CAST(sum(lsn) AS BIGINT) AS sum_lsn
         FROM changes GROUP BY dt""",

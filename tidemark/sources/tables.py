@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import SCHEMAS
+from tidemark.sources.change_log import change_log_path, log_schema
 from tidemark.sources.csv_files import CSV_OPTIONS, snapshot_path
 
 LAYERS = ("bronze", "silver", "gold")
@@ -63,6 +64,30 @@ def create_snapshot_tables(
     return {t: create_snapshot_table(spark, t, root, database, s) for t, s in schemas.items()}
 
 
+def create_changes_table(
+    spark: SparkSession,
+    table: str,
+    root: str,
+    database: str = "bronze",
+    schema: T.StructType | None = None,
+) -> str:
+    """External table over a change log, partitioned by its day folders.
+
+    Event fields beyond ``schema``, the table's schema, are ignored; without
+    one Spark infers it from the files. Does nothing if the table exists, but
+    for taking up day folders that have come since.
+    """
+    name = f"`{database}`.`{table}_cdc_external`"
+    columns = "" if schema is None else f"({log_schema(schema).toDDL()})"
+    partitions = "" if schema is None else "PARTITIONED BY (dt)"
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} {columns} USING json "
+        f"OPTIONS ('path' = '{change_log_path(root, table)}') {partitions}"
+    )
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    return name
+
+
 def materialize(
     df: DataFrame,
     layer: str,
