@@ -98,19 +98,26 @@ def test_empty_folder_then_files(spark, tmp_path):
     assert spark.read.parquet(f"{root}/out").count() == 2
 
 
-@pytest.mark.parametrize("spread_by", ["source_file", None])
-def test_dedupe_across_files(spark, tmp_path, spread_by):
+def test_dedupe_across_files(spark, tmp_path):
     root = str(tmp_path)
     source = stream(spark, root, 1).withColumn("event_time", F.timestamp_millis("ts_ms"))
     for _ in range(2):
         deliver(spark, root, [change("a", 1), change("b", 2), change("b", 2)])
-        out = state.dedupe_stream(source, "1 hour", spread_by=spread_by).writeStream.format("parquet").option("path", f"{root}/out")
+        out = state.dedupe_stream(source, "1 hour").writeStream.format("parquet").option("path", f"{root}/out")
         log.start(out, f"{root}/checkpoint", None).awaitTermination()
         deliver(spark, root, [change("b", 2, day=1), change("c", 3, day=1)])
     log.start(out, f"{root}/checkpoint", None).awaitTermination()
     assert sorted(r.lsn for r in spark.read.parquet(f"{root}/out").collect()) == [1, 2, 3]
 
 
+def test_copies_are_reduced_before_the_shuffle(spark):
+    rows = spark.range(0, 10_000, 1, 2).selectExpr("id % 2 * 9007199254740993 AS lsn", "IF(id % 3 = 0, NULL, 'orders') AS table")
+    reduced = rows.mapInArrow(state._first_of_copies(["table", "lsn"]), rows.schema)
+    assert reduced.count() <= 8
+    assert reduced.distinct().count() == rows.distinct().count() == 4
+    assert {r.lsn for r in reduced.collect()} == {0, 9007199254740993}
+
+
 def test_stateful_aggregate_emits_the_changed_keys(spark, tmp_path):
     root = str(tmp_path)
     emitted = {}

@@ -10,8 +10,9 @@ as rows with their position.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,30 +22,36 @@ from tidemark.streaming.files import delete_folder, finished_folders
 from tidemark.streaming.log import ROLL_INTERVAL, start
 
 
+def _first_of_copies(identity: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Keep the first row per identity of each Arrow batch."""
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = pa.table({c: batch.column(c) for c in identity} | {"_row": pa.array(range(batch.num_rows))})
+            first = named.group_by(list(identity)).aggregate([("_row", "min")])
+            yield batch.take(first["_row_min"].combine_chunks())
+
+    return reduce
+
+
 def dedupe_stream(
     stream: DataFrame,
     delay: str,
     event_time: str = "event_time",
     identity: Sequence[str] = ("table", "lsn"),
-    spread_by: str | None = "source_file",
-    spread: int = 32,
 ) -> DataFrame:
     """First delivery of each event, with state kept for ``delay`` of event time.
 
     ``delay`` must cover both how late a copy may come and how far out of
     order events arrive: older events count as too late and are dropped.
 
-    A streaming deduplication moves every copy of an event to one task. So
-    that an event repeated very often does not hold it up, copies are first
-    reduced within ``spread`` groups of files, which leaves at most that many.
-    The group comes from the row itself: a repeated task sends it to the same
-    place.
+    A streaming deduplication has no partial step of its own and moves every
+    copy of an event to one task. So copies are first reduced within each Arrow
+    batch, before the shuffle: an event that fills a third of the log is then
+    at most one row per batch.
     """
-    stream = stream.withWatermark(event_time, delay)
-    if spread_by:
-        stream = stream.withColumn("_spread", F.pmod(F.xxhash64(spread_by), F.lit(spread)))
-        stream = stream.dropDuplicatesWithinWatermark([*identity, "_spread"]).drop("_spread")
-    return stream.dropDuplicatesWithinWatermark(list(identity))
+    reduced = stream.mapInArrow(_first_of_copies(identity), stream.schema)
+    return reduced.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(identity))
 
 
 def latest_image_stream(stream: DataFrame, keys: Sequence[str], order: str = "lsn") -> DataFrame:
@@ -81,7 +88,7 @@ def _merged(spark: SparkSession, path: str, keys: Sequence[str], base: int | Non
 def apply_batch(changes: DataFrame, batch_id: int, path: str, keys: Sequence[str], compact_every: int = 20) -> None:
     """Add one micro-batch to the stored state; repeating a batch changes nothing."""
     spark = changes.sparkSession
-    latest_image(changes.drop("source_file"), keys).write.mode("overwrite").parquet(f"{path}/delta/{batch_id:09d}")
+    latest_image(changes, keys).write.mode("overwrite").parquet(f"{path}/delta/{batch_id:09d}")
     if (batch_id + 1) % compact_every == 0:
         compact(spark, path, keys, batch_id)
 
