@@ -100,10 +100,10 @@ def flat(events: DataFrame) -> DataFrame:
     return cdc.normalize(cdc.decode_changes(events, CHANGE_SCHEMA), CHANGE_SCHEMA)
 
 
-def third_of_files(b: Bindings, root: str, table: str = "orders") -> int:
-    """A micro-batch size that takes about three batches, however long the log is."""
+def share_of_files(b: Bindings, root: str, table: str = "orders", batches: int = 3) -> int:
+    """Files per micro-batch, so that a log of any length takes a few batches."""
     files = change_log.read_changes(b.spark, root, table, CHANGE_SCHEMA).inputFiles()
-    return -(-len(files) // 3)
+    return -(-len(files) // batches)
 
 
 def run_to_parquet(stream: DataFrame, root: str) -> None:
@@ -242,7 +242,7 @@ def routed(b: Bindings) -> DataFrame:
 def change_log_sink(b):
     root = scratch_dir(b.spark, "log-sink")
     change_log.write_changes(routed(b), root, "all")
-    stream = log.read_change_stream(b.spark, root, "all", CHANGE_SCHEMA, third_of_files(b, root, "all"))
+    stream = log.read_change_stream(b.spark, root, "all", CHANGE_SCHEMA, share_of_files(b, root, "all"))
     log.write_change_log(
         change_log.route_changes(stream, "shop").drop("topic"),
         f"{root}/log",
@@ -640,7 +640,7 @@ def resume(b):
 @query("o53_micro_batches")
 def micro_batches(b):
     root = write_log(b, b.changes(), "batches")
-    run_to_parquet(open_stream(b, root, third_of_files(b, root)), root)
+    run_to_parquet(open_stream(b, root, share_of_files(b, root)), root)
     return b.spark.read.parquet(f"{root}/out").groupBy("op").agg(
         F.count("*").alias("events"), F.sum("lsn").alias("sum_lsn")
     )
@@ -649,7 +649,7 @@ def micro_batches(b):
 @query("o54_dedupe_stream")
 def dedupe_stream(b):
     root = write_log(b, redelivered(b), "dedupe")
-    stream = open_stream(b, root, third_of_files(b, root))
+    stream = open_stream(b, root, share_of_files(b, root, batches=2))
     # A delete carries only its key, so the event time comes from the envelope.
     timed = stream.withColumn("event_time", F.timestamp_millis("ts_ms"))
     run_to_parquet(state.dedupe_stream(timed, STREAM_DELAY), root)
@@ -658,7 +658,7 @@ def dedupe_stream(b):
 
 def upserted(b: Bindings, root: str) -> DataFrame:
     state.upsert_stream(
-        open_stream(b, root, third_of_files(b, root)),
+        open_stream(b, root, share_of_files(b, root)),
         f"{root}/state",
         ["key"],
         f"{root}/checkpoint",
