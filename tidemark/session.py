@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -49,14 +47,15 @@ def build_session(
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name below the cluster's shared checkpoint folder.
+    """A new folder name below the folder that all executors share.
 
-    A local temporary folder is used only if the session names no shared one.
+    ``spark.checkpoint.dir`` names it. Only in local mode, where there is one
+    file system, may it be unset; then Hadoop's scratch folder is used.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = spark.sparkContext._jsc.hadoopConfiguration().get("hadoop.tmp.dir")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
