@@ -72,6 +72,8 @@ def drop_shared_lines(
         .where(F.col("sites") >= min_sites - slack)
         .select("h", "g", "first", (F.col("sites") > min_sites + slack).alias("sure"))
     )
+    # Written first: a join of two shuffled sides can be split where one line is very common.
+    spread = staged(spread, "line-spread")
     rows = staged(lines.join(spread, ["h", "g"]), "shared-lines")
     counted = (
         rows.where(~F.col("sure"))
