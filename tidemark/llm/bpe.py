@@ -64,7 +64,7 @@ def _in(sorted_values: np.ndarray, x: int) -> bool:
 class Encoder:
     """Encodes by a rank file; pieces seen before come from a bounded cache."""
 
-    def __init__(self, name: str, cache_size: int = 600_000):
+    def __init__(self, name: str, cache_size: int = 200_000):
         with open(public_tokenizers.path(name), "rb") as file:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.table = [b""] * (max(self.ranks.values()) + 1)
@@ -189,6 +189,7 @@ def encode_documents(
             columns = list(batch.columns)
             columns[at] = pa.array(packed, pa.binary())
             yield pa.record_batch(columns, names=[f.name for f in fields])
+        encoder.cache.clear()  # idle workers hold no pieces
 
     return docs.mapInArrow(run, T.StructType(fields))
 

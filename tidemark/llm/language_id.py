@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import remainder
+from tidemark.llm.common import remainder, staged
 
 UNDETERMINED = "und"
 
@@ -37,7 +37,9 @@ SCRIPTS = {
 
 BUCKETS = 1 << 15
 #: Characters that are scored at once; bounds a task's memory.
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 250_000
+#: So many languages at most make a table that is broadcast.
+FEW_LANGUAGES = 1_000
 
 
 @functools.cache
@@ -178,7 +180,11 @@ def fit_language_model(
     """
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
     rows = rows.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    sizes = rows.groupBy("lang").count()
+    # Counted without reading texts; null texts only make the sample smaller.
+    sizes = docs.where(F.col(lang).isNotNull()).groupBy(F.col(lang).cast("string").alias("lang")).count()
+    sizes = staged(sizes, "language-sizes")
+    if len(sizes.take(FEW_LANGUAGES + 1)) <= FEW_LANGUAGES:
+        sizes = F.broadcast(sizes)
     drawn = (
         rows.join(sizes, "lang")
         .where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) * F.col("count") < max_rows_per_language * 1_000_000)

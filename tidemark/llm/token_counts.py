@@ -64,7 +64,7 @@ def _byte_letters() -> dict[str, int]:
 class TokenCounter:
     """Counts the tokens of texts as a byte-level BPE file in JSON defines them."""
 
-    def __init__(self, name: str, cache_size: int = 600_000):
+    def __init__(self, name: str, cache_size: int = 200_000):
         with open(public_tokenizers.path(name), encoding="utf-8") as file:
             spec = json.load(file)
         letters = _byte_letters()
@@ -122,10 +122,12 @@ def token_counts(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _counter(tokenizer).count
+        counter = _counter(tokenizer)
+        count = counter.count
         for batch in batches:
             tokens = np.fromiter((count(t.as_py()) for t in batch.column(2)), np.int64, batch.num_rows)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(tokens)], ["doc_id", "n_bytes", "n_tokens"])
+        counter.cache.clear()  # idle workers hold no pieces
 
     source = docs.select(
         F.col(doc_id).alias("doc_id"),
