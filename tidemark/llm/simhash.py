@@ -132,9 +132,10 @@ def spanning_edges(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
 
 def _join_partition(budget: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches)
-        if not table.num_rows:
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
+        table = pa.Table.from_batches(held)
         turn, block, p, q, k, key = (
             table.column(c).to_numpy() for c in ("turn", "block", "p", "q", "k", "key")
         )
