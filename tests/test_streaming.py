@@ -103,7 +103,8 @@ def test_dedupe_across_files(spark, tmp_path):
     source = stream(spark, root, 1).withColumn("event_time", F.timestamp_millis("ts_ms"))
     for _ in range(2):
         deliver(spark, root, [change("a", 1), change("b", 2), change("b", 2)])
-        out = state.dedupe_stream(source, "1 hour").writeStream.format("parquet").option("path", f"{root}/out")
+        copies = state.dedupe_stream(source, "1 hour", identity=["table", "order_id", "lsn", "op"])
+        out = copies.writeStream.format("parquet").option("path", f"{root}/out")
         log.start(out, f"{root}/checkpoint", None).awaitTermination()
         deliver(spark, root, [change("b", 2, day=1), change("c", 3, day=1)])
     log.start(out, f"{root}/checkpoint", None).awaitTermination()

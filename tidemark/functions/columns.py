@@ -13,12 +13,12 @@ def _col(c: Column | str) -> Column:
 
 
 def cents(amount: Column | str) -> Column:
-    """Amount in whole cents as bigint.
+    """Amount in whole cents as bigint, rounded as a decimal: 1.005 is 101.
 
     Sums of cents do not depend on row order, and long arithmetic keeps the
     aggregate in generated code, which decimals over 18 digits do not.
     """
-    return F.floor(_col(amount) * 100 + 0.5)
+    return (_col(amount).cast("decimal(16,2)") * 100).cast("bigint")
 
 
 def money(whole_cents: Column | str) -> Column:

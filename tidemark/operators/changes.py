@@ -86,7 +86,9 @@ def dedupe_changes(
     does not load one task. Keyed tables need no such step before
     ``latest_state``: equal events at one position leave the same image.
     """
-    first = changes.groupBy(*identity).agg(F.min_by(F.struct(*changes.columns), delivered).alias("row"))
+    # A struct is never null, so an event without delivery day is not lost; it comes last.
+    order = F.struct(F.col(delivered).isNull(), F.col(delivered))
+    first = changes.groupBy(*identity).agg(F.min_by(F.struct(*changes.columns), order).alias("row"))
     return first.select("row.*")
 
 

@@ -101,8 +101,8 @@ def fact_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
 def fact_order_items(items: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
     """One row per item with order, buyer and date; price, freight and their sum.
 
-    Orders meet customers first, so the items, the largest table, are shuffled
-    once.
+    Items whose order is missing stay, without its columns. Orders meet
+    customers first, so the items, the largest table, are shuffled once.
     """
     buyers = customers.select("customer_id", "customer_unique_id")
     headers = (
@@ -116,7 +116,7 @@ def fact_order_items(items: DataFrame, orders: DataFrame, customers: DataFrame)
             date_key("order_purchase_timestamp").alias("purchase_date_key"),
         )
     )
-    return items.join(headers, "order_id", "inner").select(
+    return items.join(headers, "order_id", "left").select(
         "order_id",
         "order_item_id",
         "product_id",

@@ -77,10 +77,12 @@ def apply_transition(orders: DataFrame, events: DataFrame) -> DataFrame:
 
     ``events``: order_id, lsn, at (timestamp), cancel (boolean); several per
     order are applied by position. Entering approved, shipped or delivered
-    sets the timestamp of that milestone. No order can take more steps than
-    the life cycle has, so later events change nothing and only the first few
-    per order are kept, before the shuffle.
+    sets the timestamp of that milestone. An order in the life cycle cannot
+    take more steps than it has, so only its first few events count, and no
+    others are shuffled. Any other status is moved by a cancel alone, however
+    many events come before it.
     """
+    canceled = events.where("cancel").groupBy("order_id").agg(F.lit(True).alias("_ever"))
     steps = len(STATUS_CHAIN) - 1
     ranked = events.withColumn(
         "_step", F.row_number().over(Window.partitionBy("order_id").orderBy("lsn"))
@@ -95,7 +97,9 @@ def apply_transition(orders: DataFrame, events: DataFrame) -> DataFrame:
         "shipped": "order_delivered_carrier_date",
         "delivered": "order_delivered_customer_date",
     }
-    result = orders.join(per_order, "order_id", "left")
+    outside = ~F.coalesce(F.col("order_status").isin(STATUS_CHAIN), F.lit(False))
+    result = orders.join(per_order, "order_id", "left").join(canceled, "order_id", "left")
+    result = result.withColumn("_ever", outside & F.coalesce("_ever", F.lit(False)))
     for k in range(1, steps + 1):
         happened = F.coalesce(F.col("_events") >= k, F.lit(False))
         moved = next_status("order_status", F.coalesce(F.col(f"_cancel{k}"), F.lit(False)))
@@ -107,4 +111,5 @@ def apply_transition(orders: DataFrame, events: DataFrame) -> DataFrame:
                 for status, column in milestones.items()
             }
         ).withColumn("order_status", F.col("_next"))
-    return result.select(*orders.columns)
+    ended = F.when(F.col("_ever"), next_status("order_status", F.lit(True))).otherwise(F.col("order_status"))
+    return result.withColumn("order_status", ended).select(*orders.columns)

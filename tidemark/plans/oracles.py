@@ -400,7 +400,7 @@ _ORACLES = {
                CAST(CAST(price AS DECIMAL(18,2)) AS DOUBLE) AS price,
                CAST(CAST(freight_value AS DECIMAL(18,2)) AS DOUBLE) AS freight,
                CAST(CAST(price AS DECIMAL(18,2)) + CAST(freight_value AS DECIMAL(18,2)) AS DOUBLE) AS price_and_freight
-        FROM order_items i JOIN orders_v o ON i.order_id = o.order_id
+        FROM order_items i LEFT JOIN orders_v o ON i.order_id = o.order_id
         LEFT JOIN customers c ON o.customer_id = c.customer_id""",
     "o39_fact_payments": f"""
         SELECT p.order_id, payment_sequential, payment_type, payment_installments, customer_id,

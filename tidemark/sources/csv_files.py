@@ -16,6 +16,8 @@ CSV_OPTIONS = {
     "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
+    # A value that no field has: so an empty field is null and "" the empty string.
+    "nullValue": "\u0001",
 }
 
 # Without these Spark would cut timestamps to milliseconds and trim values.
@@ -58,8 +60,8 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bo
 def write_snapshot(df: DataFrame, root: str, table: str, rows_per_file: int = 1_000_000) -> str:
     """Replace the table's snapshot folder; returns its path.
 
-    Null is written as nothing and the empty string as "", but Spark reads
-    both back as null. Keep loss-free copies as Parquet.
+    Null is written as nothing and the empty string as ""; ``load_csv`` and the
+    external tables keep them apart.
     """
     path = snapshot_path(root, table)
     df.write.mode("overwrite").options(**WRITE_OPTIONS).option("maxRecordsPerFile", rows_per_file).csv(path)

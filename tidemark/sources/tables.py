@@ -39,10 +39,11 @@ def create_snapshot_table(
 ) -> str:
     """External table over a snapshot folder; does nothing if it exists.
 
+    A row that does not fit fails the query that reads it.
     Without ``schema`` Spark infers it, which costs a pass over the files.
     """
     name = f"`{database}`.`{table}_snapshot_external`"
-    options = dict(CSV_OPTIONS, path=snapshot_path(root, table))
+    options = dict(CSV_OPTIONS, path=snapshot_path(root, table), mode="FAILFAST")
     columns = ""
     if schema is None:
         options["inferSchema"] = "true"

@@ -10,8 +10,10 @@ as rows with their position.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +29,7 @@ def _first_of_copies(identity: Sequence[str]) -> Callable[[Iterator[pa.RecordBat
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            named = pa.table({c: batch.column(c) for c in identity} | {"_row": pa.array(range(batch.num_rows))})
+            named = pa.table({c: batch.column(c) for c in identity} | {"_row": np.arange(batch.num_rows)})
             first = named.group_by(list(identity)).aggregate([("_row", "min")])
             yield batch.take(first["_row_min"].combine_chunks())
 
@@ -38,7 +40,7 @@ def dedupe_stream(
     stream: DataFrame,
     delay: str,
     event_time: str = "event_time",
-    identity: Sequence[str] = ("table", "lsn"),
+    identity: Sequence[str] = ("table", "key", "lsn", "op"),
 ) -> DataFrame:
     """First delivery of each event, with state kept for ``delay`` of event time.
 
@@ -85,6 +87,28 @@ def _merged(spark: SparkSession, path: str, keys: Sequence[str], base: int | Non
     return latest_image(changes, keys) if state is None else merge_batch(state, changes, keys)
 
 
+def _numbers_from(spark: SparkSession, path: str, checkpoint: str, take_over: bool) -> int:
+    """What to add to the batch ids of a query, so that its parts follow all earlier ones.
+
+    Spark gives every new checkpoint an id, and counts its batches from 0. The
+    first batch of an id is entered in ``path/owner`` with the number it starts
+    from; state that belongs to another id is refused unless ``take_over``.
+    """
+    query = json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
+    entries = finished_folders(spark, f"{path}/owner")
+    for n in entries:
+        if spark.read.text(f"{path}/owner/{n:09d}").first().value == query:
+            return n
+    parts = [n for kind in ("base", "delta", "rows") for n in finished_folders(spark, f"{path}/{kind}")]
+    if (parts or entries) and not take_over:
+        raise ValueError(f"{path} holds state of another checkpoint; pass take_over=True to go on from it")
+    start = max([-1, *parts, *entries]) + 1
+    spark.createDataFrame([(query,)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{path}/owner/{start:09d}"
+    )
+    return start
+
+
 def apply_batch(changes: DataFrame, batch_id: int, path: str, keys: Sequence[str], compact_every: int = 20) -> None:
     """Add one micro-batch to the stored state; repeating a batch changes nothing."""
     spark = changes.sparkSession
@@ -116,14 +140,20 @@ def upsert_stream(
     checkpoint: str,
     interval: str | None = ROLL_INTERVAL,
     compact_every: int = 20,
+    take_over: bool = False,
 ) -> StreamingQuery:
     """Keep the latest state of a keyed table below ``path``.
 
-    ``stream`` holds flat change rows with ``op`` and ``lsn``.
+    ``stream`` holds flat change rows with ``op`` and ``lsn``. State written
+    under another checkpoint, or under one that was lost, is only gone on with
+    if ``take_over`` says so.
     """
+    first: list[int] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, batch_id, path, keys, compact_every)
+        if not first:
+            first.append(_numbers_from(batch.sparkSession, path, checkpoint, take_over))
+        apply_batch(batch, first[0] + batch_id, path, keys, compact_every)
 
     return start(stream.writeStream.foreachBatch(write), checkpoint, interval)
 
@@ -139,21 +169,39 @@ def read_state(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame
 
 
 def append_stream(
-    stream: DataFrame, path: str, identity: Sequence[str], checkpoint: str, interval: str | None = ROLL_INTERVAL
+    stream: DataFrame,
+    path: str,
+    identity: Sequence[str] | None,
+    checkpoint: str,
+    interval: str | None = ROLL_INTERVAL,
+    take_over: bool = False,
 ) -> StreamingQuery:
     """Collect the inserts of a table without key; ``read_appended`` gives its rows.
 
+    Copies are rows equal in ``identity``, by default in every column, position
+    included: rows of one insert share a position, so it does not do alone.
+
     Redeliveries inside a micro-batch go at once, those across batches when
     reading, by the log position kept with every row: exact however late they
-    come.
+    come. Rows of another checkpoint are kept and added to only with
+    ``take_over``.
     """
+    first: list[int] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if not first:
+            first.append(_numbers_from(batch.sparkSession, path, checkpoint, take_over))
         inserts = batch.where(F.col("op").isin("c", "r"))
-        inserts.dropDuplicates(list(identity)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        part = f"{path}/rows/{first[0] + batch_id:09d}"
+        inserts.dropDuplicates(identity and list(identity)).write.mode("overwrite").parquet(part)
 
     return start(stream.writeStream.foreachBatch(write), checkpoint, interval)
 
 
-def read_appended(spark: SparkSession, path: str, identity: Sequence[str]) -> DataFrame:
-    return spark.read.parquet(path).drop("batch").dropDuplicates(list(identity))
+def read_appended(spark: SparkSession, path: str, identity: Sequence[str] | None = None) -> DataFrame:
+    """Rows of all finished micro-batches, copies removed."""
+    parts = finished_folders(spark, f"{path}/rows")
+    if not parts:
+        raise ValueError(f"no rows below {path}")
+    rows = spark.read.parquet(*(f"{path}/rows/{n:09d}" for n in parts))
+    return rows.dropDuplicates(identity and list(identity))
