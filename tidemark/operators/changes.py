@@ -8,19 +8,32 @@ remember its position, or a late older update would revive it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import as_timestamp, timestamp_of_micros
+from tidemark.sources.change_log import UNREADABLE, is_faulty
 
 SNAPSHOT_POSITION = -1  # before every log position
 
 
+def unreadable_events(events: DataFrame) -> DataFrame:
+    """Events read with ``keep_unreadable`` that ``decode_changes`` leaves out, for quarantine.
+
+    Besides lines that do not parse, those with content but without operation.
+    """
+    return events.where(is_faulty(events))
+
+
 def decode_changes(events: DataFrame, schema: T.StructType) -> DataFrame:
-    """Flat change rows from wire events; lines without an operation are dropped.
+    """Flat change rows from wire events.
+
+    Null payloads are dropped. An event with content but without operation is
+    an error, unless the events were read with ``keep_unreadable``: then it and
+    the lines that do not parse are left to ``unreadable_events``.
 
     Each column comes from the image that describes the row: ``before`` for a
     delete, else ``after``. A key missing there is taken from the other image.
@@ -34,7 +47,12 @@ def decode_changes(events: DataFrame, schema: T.StructType) -> DataFrame:
             column = F.coalesce(after, before)
         columns.append(column.alias(f.name))
     folders = [F.col(c) for c in ("epoch", "dt") if c in events.columns]
-    return events.where(F.col("op").isNotNull()).select(
+    faulty, has_op = is_faulty(events), F.col("op").isNotNull()
+    if UNREADABLE in events.columns:
+        wanted = has_op & ~faulty
+    else:
+        wanted = F.when(faulty, F.raise_error(F.lit("event without operation")).cast("boolean")).otherwise(has_op)
+    return events.where(wanted).select(
         *columns,
         "op",
         F.col("source.lsn").alias("lsn"),
@@ -64,6 +82,18 @@ def normalize(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*columns, *(c for c in df.columns if c.lower() not in wanted))
 
 
+def misfit_rules(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
+    """Conditions for values that ``normalize`` cannot keep, by rule name, for ``check_rows``."""
+    given = {f.name.lower(): f for f in df.schema.fields}
+    rules = {}
+    for f in schema.fields:
+        source = given.get(f.name.lower())
+        if source is not None and source.dataType != f.dataType:
+            value = F.col(source.name)
+            rules[f"fits {f.name}"] = value.isNotNull() & _convert(value, source.dataType, f.dataType).isNull()
+    return rules
+
+
 def _convert(column: Column, source: T.DataType, target: T.DataType) -> Column:
     if source == target:
         return column
@@ -165,6 +195,24 @@ def snapshot_as_of(
     return current_state(base, changes.where(F.col("lsn") <= position), keys)
 
 
+def snapshot_all_as_of(
+    bases: Mapping[str, DataFrame],
+    logs: Mapping[str, DataFrame],
+    keys: Mapping[str, Sequence[str]],
+    position: int | Column,
+) -> dict[str, DataFrame]:
+    """All tables as of one log position: keyed ones by key, others by insert, uncaptured ones as they are."""
+
+    def as_of(name: str) -> DataFrame:
+        if name not in logs:
+            return bases[name]
+        if name in keys:
+            return snapshot_as_of(bases[name], logs[name], keys[name], position)
+        return append_only_state(bases[name], logs[name].where(F.col("lsn") <= position))
+
+    return {name: as_of(name) for name in bases}
+
+
 def after_bookmark(changes: DataFrame, epoch: int) -> DataFrame:
     """Changes that belong to the snapshot of ``epoch``.
 

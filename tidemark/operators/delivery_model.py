@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import FeatureHasher, VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -37,22 +39,28 @@ def order_features(orders: DataFrame, items: DataFrame, customers: DataFrame) ->
     )
 
 
-def fit_delivery_model(features: DataFrame) -> PipelineModel:
+def fit_delivery_model(
+    features: DataFrame,
+    numbers: Sequence[str] = _NUMBERS,
+    state_slots: int = 256,
+    penalty: float = 0.01,
+) -> PipelineModel:
     """Linear regression on the delivered orders.
 
-    States are hashed into a vector of fixed size, so no list of them is
+    States are hashed into ``state_slots`` places, so no list of them is
     gathered, and the normal equations take one distributed pass and a matrix
-    of fixed size.
+    of fixed size. States that share a place share a weight; 0 leaves them out.
     """
+    hashed = ["state_vector"] if state_slots else []
     stages = [
-        FeatureHasher(inputCols=["state"], outputCol="state_vector", numFeatures=256),
-        VectorAssembler(inputCols=[*_NUMBERS, "state_vector"], outputCol="features"),
+        *(FeatureHasher(inputCols=["state"], outputCol=c, numFeatures=state_slots) for c in hashed),
+        VectorAssembler(inputCols=[*numbers, *hashed], outputCol="features"),
         LinearRegression(
             featuresCol="features",
             labelCol="delivery_hours",
             predictionCol="predicted_hours",
             solver="normal",
-            regParam=0.01,
+            regParam=penalty,
         ),
     ]
     return Pipeline(stages=stages).fit(features.where(F.col("delivery_hours").isNotNull()))

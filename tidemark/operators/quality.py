@@ -238,6 +238,85 @@ def check_milestones(orders: DataFrame, table: str = "orders") -> DataFrame:
     return check_rows(orders, table, milestone_rules())
 
 
+def payment_rules() -> dict[str, Column]:
+    """What one payment row must keep to."""
+    instalments = F.col("payment_installments")
+    card = F.col("payment_type") == "credit_card"
+    return {
+        "one payment per order": F.col("payment_sequential") != 1,
+        "1 to 10 instalments by card": card & ~instalments.between(1, 10),
+        "one instalment otherwise": ~card & (instalments != 1),
+    }
+
+
+def item_rules() -> dict[str, Column]:
+    """What one item row must keep to."""
+    return {
+        "price from 10 to 300": ~F.col("price").between(10, 300),
+        "freight from 5 to 50": ~F.col("freight_value").between(5, 50),
+    }
+
+
+def review_rules() -> dict[str, Column]:
+    """What one review row must keep to."""
+    return {"answer not before creation": F.col("review_answer_timestamp") < F.col("review_creation_date")}
+
+
+def estimate_rules() -> dict[str, Column]:
+    """What the estimate of an order must keep to."""
+    purchase, estimate = F.col("order_purchase_timestamp"), F.col("order_estimated_delivery_date")
+    early = estimate < purchase + F.expr("INTERVAL '10' DAY")
+    return {"estimate 10 to 20 days after purchase": early | (estimate > purchase + F.expr("INTERVAL '20' DAY"))}
+
+
+def check_write_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rules that rows written by the shop keep to; imported history may not. A null breaks none.
+
+    Reviews and items are compared with their order by a join; one price per
+    product is counted before anything is shuffled.
+    """
+    orders = tables["orders"]
+    headers = orders.select("order_id", "order_status", "order_purchase_timestamp", "order_delivered_customer_date")
+    reviews = tables["order_reviews"].select("order_id", "review_creation_date").join(headers, "order_id")
+    items = tables["order_items"].select("order_id", "shipping_limit_date").join(headers, "order_id")
+    limit = F.col("order_purchase_timestamp") + F.expr("INTERVAL '5' DAY")
+    prices = tables["order_items"].groupBy("product_id").agg(F.min("price").alias("low"), F.max("price").alias("high"))
+    return report(
+        check_rows(tables["payments"], "payments", payment_rules()),
+        check_rows(tables["order_items"], "order_items", item_rules()),
+        check_rows(tables["order_reviews"], "order_reviews", review_rules()),
+        check_rows(orders, "orders", estimate_rules()),
+        check_rows(
+            reviews,
+            "order_reviews",
+            {
+                "reviewed once delivered": F.col("order_status") != "delivered",
+                "review after receipt": F.col("review_creation_date") < F.col("order_delivered_customer_date"),
+            },
+        ),
+        check_rows(items, "order_items", {"shipping limit 5 days after purchase": F.col("shipping_limit_date") != limit}),
+        check_rows(prices, "products", {"one price per product": F.col("low") != F.col("high")}),
+    )
+
+
+def check_payments(reconciled: DataFrame) -> DataFrame:
+    """Orders whose payments equal their items, from ``reconcile_payments``."""
+    return check_rows(reconciled, "orders", {"paid what is owed": F.col("outcome") != "match"})
+
+
+def check_transitions(changes: DataFrame, table: str) -> DataFrame:
+    """Steps of the orders' life cycle in a log without redeliveries, see ``illegal_transitions``.
+
+    Unlike there, a history may start anywhere, as its beginning can lie in the
+    snapshot or before a delete, and a change that leaves the status alone is no step.
+    """
+    illegal = illegal_transitions(changes).where(F.col("previous_status") != F.col("status"))
+    counts = changes.agg(F.count("*").alias("checked")), illegal.agg(F.count("*").alias("failed"))
+    return counts[0].select(
+        F.lit(table).alias("table"), F.lit("legal transitions").alias("rule"), "checked", counts[1].scalar().alias("failed")
+    )
+
+
 def check_item_sequence(items: DataFrame, table: str = "order_items") -> DataFrame:
     """Item numbers of each order are 1, 2, … n; counts orders."""
     numbers = items.groupBy("order_id", "order_item_id").agg(F.count("*").alias("n"))

@@ -25,9 +25,18 @@ def open_orders(orders: DataFrame) -> DataFrame:
     return orders.where(~F.col("order_status").isin(*CLOSED_STATUSES))
 
 
-def sample_rows(df: DataFrame, percent: float, seed: int) -> DataFrame:
-    """About ``percent`` of the rows, each drawn on its own; may be empty."""
-    return df.sample(fraction=percent / 100, seed=seed)
+def sample_rows(df: DataFrame, percent: float, seed: int, key: str | None = None) -> DataFrame:
+    """About ``percent`` of the rows, each drawn on its own; may be empty.
+
+    With ``key`` a hash of it decides, so the choice is the same on every run,
+    however the files are split.
+    """
+    if key is None:
+        return df.sample(fraction=percent / 100, seed=seed)
+    if percent >= 100:
+        return df.where(F.col(key).isNotNull())
+    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return df.where(F.substring(drawn, 1, 8) < f"{int(percent / 100 * 2**32):08x}")
 
 
 def random_top(df: DataFrame, n: int, seed: int, key: str | None = None) -> DataFrame:

@@ -18,6 +18,7 @@ from tidemark import schemas
 from tidemark.functions import micros_of
 from tidemark.operators import changes as cdc
 from tidemark.operators import delivery_model, gold, quality, select, silver
+from tidemark.plans import layers
 from tidemark.plans.bindings import Bindings
 from tidemark.session import scratch_dir
 from tidemark.sources import change_log, csv_files, epochs, tables
@@ -109,7 +110,9 @@ def share_of_files(b: Bindings, root: str, table: str = "orders", batches: int =
 def run_to_parquet(stream: DataFrame, root: str) -> None:
     """Process what is there, resuming from the checkpoint below ``root``."""
     writer = stream.writeStream.format("parquet").option("path", f"{root}/out")
-    log.start(writer, f"{root}/checkpoint", interval=None).awaitTermination()
+    finished = log.start(writer, f"{root}/checkpoint", interval=None)
+    finished.awaitTermination()
+    state.fail_if_dropped(finished)
 
 
 def database_of_tables(b: Bindings, label: str) -> tuple[str, DataFrame]:
@@ -238,6 +241,15 @@ def routed(b: Bindings) -> DataFrame:
     return events.withColumn("source", F.col("source").withField("table", table))
 
 
+@query("o10_epoch_partitions")
+def epoch_partitions(b):
+    root = write_log(b, b.changes().withColumn("epoch", epoch_of(F.col("dt"))), "epoch-table")
+    prefix = f"epoch_table_{root[-12:]}_"
+    tables.create_layers(b.spark, root, prefix)
+    name = tables.create_changes_table(b.spark, "orders", root, f"{prefix}bronze", CHANGE_SCHEMA, ("epoch", "dt"))
+    return flat(b.spark.table(name)).select("epoch", "dt", "lsn", "key", "op", "status")
+
+
 @query("o11_change_log_sink")
 def change_log_sink(b):
     root = scratch_dir(b.spark, "log-sink")
@@ -324,6 +336,33 @@ def decode_changes(b):
     return decoded.select("lsn", "key", "op", "status", "event_time", "value", "ts_ms", "table", "dt")
 
 
+@query("o18_unreadable_events")
+def unreadable_events(b):
+    # Every seventh line is cut off, every eleventh other one has a text for its position.
+    events = events_of(b.changes())
+    events = events.withColumn("line", F.to_json(F.struct(*(c for c in events.columns if c != "dt"))))
+    position = F.col("source.lsn")
+    line = (
+        F.when(position % 7 == 0, F.expr("left(line, length(line) - 2)"))
+        .when(position % 11 == 0, F.regexp_replace("line", r'"lsn":(\d+)', '"lsn":"no $1"'))
+        .otherwise(F.col("line"))
+    )
+    root = scratch_dir(b.spark, "unreadable")
+    path = change_log.change_log_path(root, "orders")
+    events.select(line.alias("value"), "dt").write.partitionBy("dt").text(path)
+    read = change_log.read_changes(b.spark, root, "orders", CHANGE_SCHEMA, keep_unreadable=True)
+    good = flat(read).select("lsn", "key", "op", "status", F.lit(True).alias("readable"), "dt")
+    bad = cdc.unreadable_events(read).select(
+        F.regexp_extract("unreadable", r'"lsn":(?:"no )?(\d+)', 1).cast("bigint").alias("lsn"),
+        F.lit(None).cast("bigint").alias("key"),
+        F.lit(None).cast("string").alias("op"),
+        F.lit(None).cast("string").alias("status"),
+        F.lit(False).alias("readable"),
+        "dt",
+    )
+    return good.unionAll(bad)
+
+
 @query("o19_normalize")
 def normalize(b):
     orders = b.orders()
@@ -386,9 +425,31 @@ def payment_changes(b: Bindings) -> DataFrame:
         F.floor("value").cast("double").alias("payment_value"),
         F.lit("c").alias("op"),
         "lsn",
+        "event_time",
+        "dt",
     )
 
 
+@query("o23_epoch_tables")
+def epoch_tables(b):
+    """Two epochs of a keyed and of a keyless table, merged as the layers do."""
+    root = scratch_dir(b.spark, "epoch-tables")
+    keyed = b.changes().selectExpr("CAST(key AS STRING) AS order_id", "status AS order_status", "op", "lsn", "event_time", "dt")
+    for name, rows in (("orders", keyed), ("payments", payment_changes(b))):
+        schema = schemas.get_schema(name)
+        rows = rows.withColumns({"ts_ms": F.floor(micros_of("event_time") / 1000), "epoch": epoch_of(F.col("dt"))})
+        events = change_log.to_envelope(cdc.normalize(rows.drop("event_time"), schema), schema, name, ["order_id"])
+        change_log.write_changes(events, root, name)
+    for epoch in (1, 2):
+        epochs.open_epoch(b.spark, root, epoch, 0)
+    logs = layers.change_logs(layers.read_events(b.spark, root, f"{root}/staged"))
+    found = layers.current_tables({name: full_table(b, name) for name in ("orders", "payments")}, logs)
+    orders = found["orders"].select(
+        F.lit("orders").alias("table"), "order_id", F.col("order_status").alias("status"), F.lit(None).cast("double").alias("value")
+    )
+    return orders.unionAll(found["payments"].select(F.lit("payments"), "order_id", "payment_type", "payment_value"))
+
+
 @query("o24_append_only_state")
 def append_only_state(b):
     inserts = payment_changes(b)
@@ -453,7 +514,7 @@ def open_orders(b):
 
 @query("o33_sample_rows")
 def sample_rows(b):
-    return select.sample_rows(b.geolocation(), 1, seed=7)
+    return select.sample_rows(b.customers(), 5, seed=7, key="customer_id")
 
 
 @query("o34_random_top")
@@ -588,6 +649,12 @@ def check_milestones(b):
     return quality.check_milestones(b.orders())
 
 
+@query("o47_check_write_rules")
+def check_write_rules(b):
+    names = ("orders", "order_items", "payments", "order_reviews")
+    return quality.check_write_rules({name: full_table(b, name) for name in names})
+
+
 @query("o48_check_item_sequence")
 def check_item_sequence(b):
     return quality.check_item_sequence(b.order_items())
@@ -595,17 +662,7 @@ def check_item_sequence(b):
 
 @query("o49_mix_profile")
 def mix_profile(b):
-    profiles = {
-        "payment type": quality.mix_profile(b.payments(), "payment_type", schemas.PAYMENT_TYPE_WEIGHTS),
-        "items per order": quality.mix_profile(
-            quality.items_per_order(b.order_items()), "items", schemas.ITEMS_PER_ORDER_WEIGHTS
-        ),
-        "review score": quality.mix_profile(b.order_reviews(), "review_score", schemas.REVIEW_SCORE_WEIGHTS),
-        "returning buyer": quality.mix_profile(
-            quality.returning_buyers(b.customers()), "returning", schemas.RETURNING_BUYER_WEIGHTS, weight="n"
-        ),
-    }
-    return quality.report(*(p.select(F.lit(name).alias("profile"), "*") for name, p in profiles.items()))
+    return layers.mix_profiles({name: getattr(b, name)() for name in ("payments", "order_items", "order_reviews", "customers")})
 
 
 @query("o50_order_durations")
@@ -694,3 +751,13 @@ def score_model(b):
     path = scratch_dir(b.spark, "model")
     delivery_model.save_model(delivery_model.fit_delivery_model(features), path)
     return delivery_model.score(delivery_model.load_model(path), features)
+
+
+@query("o57_value_trend")
+def value_trend(b):
+    """The model on one feature without penalty: an ordinary regression line."""
+    features = delivery_model.order_features(b.orders(), b.order_items(), b.customers())
+    line = delivery_model.fit_delivery_model(features, ["value"], state_slots=0, penalty=0.0).stages[-1]
+    fitted = [(float(line.coefficients[0]), float(line.intercept))]
+    found = b.spark.createDataFrame(fitted, "slope double, intercept double")
+    return found.select(F.round("slope", 8).alias("slope"), F.round("intercept", 5).alias("intercept"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import changes as cdc
 from tidemark.operators import gold, quality, silver
-from tidemark.sources import change_log, csv_files, tables
+from tidemark.sources import change_log, csv_files, epochs, tables
 
 Frames = dict[str, DataFrame]
 
@@ -22,20 +23,38 @@ def read_snapshots(spark: SparkSession, root: str) -> Frames:
     }
 
 
-def read_change_logs(spark: SparkSession, root: str, staging: str) -> Frames:
-    """Flat, typed changes of the captured tables; a table without a folder has none.
+def read_events(spark: SparkSession, root: str, staging: str, keep_unreadable: bool = False) -> Frames:
+    """Events of the captured tables; a table without a folder has none.
+
+    Once an epoch has been opened below ``root``, only the folders of the
+    newest are read: older changes are part of its snapshot already.
 
     Kept as Parquet below ``staging``: the merges read a log more than once,
-    and only some of its columns, while JSON is parsed whole on every read.
+    and only some of its columns, while JSON is parsed whole on every read. So
+    every line is looked at in full, and one that cannot be read fails the run,
+    or with ``keep_unreadable`` is a row of its own.
     """
-    logs = {}
+    epoch = epochs.current_epoch(spark, root)
+    folders = ("dt",) if epoch is None else ("epoch", "dt")
+    found = {}
     for name in schemas.CDC_TABLES:
         schema = schemas.get_schema(name)
-        events = change_log.read_changes_or_empty(spark, root, name, schema)
-        changes = cdc.normalize(cdc.decode_changes(events, schema), schema)
-        changes.write.mode("overwrite").parquet(f"{staging}/{name}")
-        logs[name] = spark.read.parquet(f"{staging}/{name}")
-    return logs
+        events = change_log.read_changes_or_empty(spark, root, name, schema, folders, keep_unreadable)
+        if epoch is not None:
+            events = cdc.after_bookmark(events, epoch).drop("epoch")
+        events.write.mode("overwrite").parquet(f"{staging}/{name}")
+        found[name] = spark.read.parquet(f"{staging}/{name}")
+    return found
+
+
+def change_logs(events: Mapping[str, DataFrame]) -> Frames:
+    """Flat, typed changes from the events of each table."""
+
+    def flat(name: str) -> DataFrame:
+        schema = schemas.get_schema(name)
+        return cdc.normalize(cdc.decode_changes(events[name], schema), schema)
+
+    return {name: flat(name) for name in events}
 
 
 def current_tables(snapshots: Mapping[str, DataFrame], logs: Mapping[str, DataFrame]) -> Frames:
@@ -93,23 +112,68 @@ def check_tables(current: Mapping[str, DataFrame]) -> DataFrame:
             rules.append(quality.check_unique(df, name, schemas.KEYS[name]))
     rules.append(quality.check_foreign_keys(current))
     rules.append(quality.check_item_sequence(current["order_items"]))
+    rules.append(quality.check_write_rules(current))
+    rules.append(quality.check_payments(gold.reconcile_payments(current["order_items"], current["payments"])))
     return quality.report(*rules)
 
 
-def run_layers(spark: SparkSession, root: str, warehouse: str, prefix: str = "") -> DataFrame:
+def check_events(events: Mapping[str, DataFrame]) -> DataFrame:
+    """Events that could be read, values that fit their types, legal steps of orders."""
+    rules = []
+    for name, df in events.items():
+        schema = schemas.get_schema(name)
+        faulty = {"readable events": change_log.is_faulty(df)}
+        rules.append(quality.check_rows(df, f"{name} changes", faulty))
+        decoded = cdc.decode_changes(df, schema)
+        rules.append(quality.check_rows(decoded, f"{name} changes", cdc.misfit_rules(decoded, schema)))
+        if name == "orders":
+            once = cdc.normalize(decoded, schema).dropDuplicates(["order_id", "lsn"])
+            rules.append(quality.check_transitions(once, f"{name} changes"))
+    return quality.report(*rules)
+
+
+def mix_profiles(current: Mapping[str, DataFrame]) -> DataFrame:
+    """Shares of values in the current tables next to the expected ones."""
+    profiles = {
+        "payment type": quality.mix_profile(current["payments"], "payment_type", schemas.PAYMENT_TYPE_WEIGHTS),
+        "items per order": quality.mix_profile(
+            quality.items_per_order(current["order_items"]), "items", schemas.ITEMS_PER_ORDER_WEIGHTS
+        ),
+        "review score": quality.mix_profile(
+            current["order_reviews"], "review_score", schemas.REVIEW_SCORE_WEIGHTS
+        ),
+        "returning buyer": quality.mix_profile(
+            quality.returning_buyers(current["customers"]), "returning", schemas.RETURNING_BUYER_WEIGHTS, weight="n"
+        ),
+    }
+    return quality.report(*(p.select(F.lit(name).alias("profile"), "*") for name, p in profiles.items()))
+
+
+def run_layers(
+    spark: SparkSession, root: str, warehouse: str, prefix: str = "", keep_unreadable: bool = False
+) -> DataFrame:
     """Rebuild all layers from the files below ``root``; returns the quality report.
 
-    Each layer is stored before the next one reads it.
+    Each layer is stored before the next one reads it. Changes of the newest
+    epoch count if epochs are recorded, else all. An unreadable event fails the
+    run; with ``keep_unreadable`` it is left out and counted in the report.
     """
     tables.create_layers(spark, warehouse, prefix)
     snapshots = {
         name: tables.materialize(df, "bronze", name, prefix) for name, df in read_snapshots(spark, root).items()
     }
-    current = current_tables(snapshots, read_change_logs(spark, root, f"{warehouse}/staged"))
+    events = read_events(spark, root, f"{warehouse}/staged", keep_unreadable)
+    current = current_tables(snapshots, change_logs(events))
     stored = {
         name: tables.materialize(df, "silver", name, prefix) for name, df in build_silver(current).items()
     }
-    for name, df in build_gold(stored).items():
+    for name, df in {**build_gold(stored), "mix_profile": mix_profiles(stored)}.items():
         tables.materialize(df, "gold", name, prefix)
     untranslated = {"products": current["products"], "geolocation": current["geolocation"]}
-    return check_tables({**stored, **untranslated})
+    valid = [
+        quality.validate_table(spark, f"`{prefix}silver`.`{name}`", schemas.get_schema(name)).withColumn(
+            "table", F.lit(name)
+        )
+        for name in stored
+    ]
+    return quality.report(check_tables({**stored, **untranslated}), check_events(events), *valid)

@@ -287,6 +287,9 @@ _ORACLES = {
     "o10_partition_discovery": """
         SELECT CAST(dt AS VARCHAR) AS dt, count(*) AS events, CAST(sum(lsn) AS BIGINT) AS sum_lsn
         FROM changes GROUP BY dt""",
+    "o10_epoch_partitions": f"""
+        SELECT CASE WHEN dt < DATE '2024-01-16' THEN 1 ELSE 2 END AS epoch, CAST(dt AS VARCHAR) AS dt, lsn, key, op, status
+        FROM (SELECT {IMAGE}, dt FROM changes)""",
     "o11_change_log_sink": f"""
         SELECT "table", CAST(dt AS VARCHAR) AS dt, count(*) AS events, CAST(sum(lsn) AS BIGINT) AS sum_lsn
         FROM ({ROUTED}) WHERE "table" <> 'geolocation' GROUP BY ALL""",
@@ -311,6 +314,10 @@ _ORACLES = {
         SELECT lsn, key, op, status, CAST(epoch_us(image.event_time) AS VARCHAR) AS event_time, value, ts_ms,
                'orders' AS "table", CAST(dt AS VARCHAR) AS dt
         FROM (SELECT {IMAGE}, epoch_us(c.event_time) // 1000 AS ts_ms, dt FROM changes c) image""",
+    "o18_unreadable_events": f"""
+        SELECT lsn, CASE WHEN good THEN key END AS key, CASE WHEN good THEN op END AS op,
+               CASE WHEN good THEN status END AS status, good AS readable, CAST(dt AS VARCHAR) AS dt
+        FROM (SELECT {IMAGE}, lsn % 7 <> 0 AND lsn % 11 <> 0 AS good, dt FROM changes)""",
     "o19_normalize": """
         SELECT order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at,
                order_delivered_carrier_date, CAST(NULL AS TIMESTAMP) AS order_delivered_customer_date,
@@ -333,6 +340,18 @@ _ORACLES = {
         SELECT key, status, value FROM (
             SELECT * FROM changes WHERE dt >= DATE '2024-01-16'
             QUALIFY row_number() OVER (PARTITION BY key ORDER BY lsn DESC) = 1) WHERE op <> 'd'""",
+    "o23_epoch_tables": """
+        SELECT 'orders' AS "table", o.order_id, o.order_status AS status, CAST(NULL AS DOUBLE) AS value FROM orders_v o
+        WHERE NOT EXISTS (SELECT 1 FROM changes c WHERE CAST(c.key AS VARCHAR) = o.order_id AND c.dt >= DATE '2024-01-16')
+        UNION ALL
+        SELECT 'orders', CAST(key AS VARCHAR), status, NULL FROM (
+            SELECT * FROM changes WHERE dt >= DATE '2024-01-16'
+            QUALIFY row_number() OVER (PARTITION BY key ORDER BY lsn DESC) = 1) WHERE op <> 'd'
+        UNION ALL
+        SELECT 'payments', order_id, payment_type, payment_value FROM payments
+        UNION ALL
+        SELECT 'payments', CAST(key AS VARCHAR), 'credit_card', CAST(floor(value) AS DOUBLE) FROM changes
+        WHERE status = 'shipped' AND dt >= DATE '2024-01-16'""",
     "o24_append_only_state": """
         SELECT * FROM payments
         UNION ALL
@@ -347,6 +366,8 @@ _ORACLES = {
     "o30_select_columns": "SELECT geolocation_zip_code_prefix, geolocation_city, geolocation_state FROM geolocation",
     "o31_lookup": "SELECT order_id, order_item_id, price FROM order_items WHERE product_id = '7'",
     "o32_open_orders": "SELECT order_id, order_status FROM orders_v WHERE order_status NOT IN ('delivered', 'canceled')",
+    "o33_sample_rows": """
+        SELECT * FROM customers WHERE substr(md5('7:' || customer_id), 1, 8) < '0ccccccc'""",
     "o34_random_top": """
         SELECT order_id, order_status FROM orders_v WHERE order_status NOT IN ('delivered', 'canceled')
         ORDER BY md5('7:' || order_id), order_id LIMIT 100""",
@@ -474,6 +495,27 @@ _ORACLES = {
             '->created', 'created>approved', 'approved>processing', 'processing>invoiced', 'invoiced>shipped',
             'shipped>delivered', 'created>canceled', 'approved>canceled', 'processing>canceled', 'invoiced>canceled')""",
     "o47_check_milestones": union(row_rules("orders", MILESTONES, "orders_v")),
+    "o47_check_write_rules": union([
+        *row_rules("payments", {
+            "one payment per order": "payment_sequential <> 1",
+            "1 to 10 instalments by card": "payment_type = 'credit_card' AND payment_installments NOT BETWEEN 1 AND 10",
+            "one instalment otherwise": "payment_type <> 'credit_card' AND payment_installments <> 1"}),
+        *row_rules("order_items", {
+            "price from 10 to 300": "price NOT BETWEEN 10 AND 300",
+            "freight from 5 to 50": "freight_value NOT BETWEEN 5 AND 50"}),
+        *row_rules("order_reviews", {"answer not before creation": "false"}),
+        *row_rules("orders", {"estimate 10 to 20 days after purchase": """
+            order_estimated_delivery_date NOT BETWEEN order_purchase_timestamp + INTERVAL 10 DAY
+            AND order_purchase_timestamp + INTERVAL 20 DAY"""}, "orders_v"),
+        *row_rules("order_reviews", {
+            "reviewed once delivered": "order_status <> 'delivered'",
+            "review after receipt": "false"}, "(SELECT * FROM order_reviews r JOIN orders_v o ON r.order_id = o.order_id)"),
+        *row_rules("order_items", {"shipping limit 5 days after purchase":
+            "shipping_limit_date <> order_purchase_timestamp + INTERVAL 5 DAY"},
+            "(SELECT * FROM order_items i JOIN orders_v o ON i.order_id = o.order_id)"),
+        *row_rules("products", {"one price per product": "low <> high"},
+            "(SELECT min(price) AS low, max(price) AS high FROM order_items GROUP BY product_id)"),
+    ]),
     "o48_check_item_sequence": rule(
         "order_items", "item numbers contiguous",
         "count(*) FILTER (NOT sound)",
@@ -502,6 +544,11 @@ _ORACLES = {
                CAST({hours('order_purchase_timestamp', 'order_delivered_customer_date')} AS DOUBLE) AS delivery_hours
         FROM orders_v o LEFT JOIN ({TOTALS}) t ON o.order_id = t.order_id
         LEFT JOIN customers c ON o.customer_id = c.customer_id""",
+    "o57_value_trend": f"""
+        SELECT round(regr_slope(y, x), 8) AS slope, round(regr_intercept(y, x), 5) AS intercept
+        FROM (SELECT coalesce(CAST(price AS DOUBLE), 0) AS x,
+                     CAST({hours('order_purchase_timestamp', 'order_delivered_customer_date')} AS DOUBLE) AS y
+              FROM orders_v o LEFT JOIN ({TOTALS}) t ON o.order_id = t.order_id) WHERE y IS NOT NULL""",
 }
 
 ORACLES = {name: with_shapes(sql) for name, sql in _ORACLES.items()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,9 +65,39 @@ _FOLDERS = {
 }
 
 
-def log_schema(table_schema: T.StructType, folders: Sequence[str] = ("dt",)) -> T.StructType:
+#: Column with the text of a line that is no event or does not fit its types.
+UNREADABLE = "unreadable"
+
+
+def log_schema(
+    table_schema: T.StructType, folders: Sequence[str] = ("dt",), unreadable: bool = False
+) -> T.StructType:
     """Schema of a stored event: the event line plus its folder columns."""
-    return T.StructType([*envelope_schema(table_schema).fields, *(_FOLDERS[f] for f in folders)])
+    kept = [T.StructField(UNREADABLE, T.StringType())] if unreadable else []
+    return T.StructType([*envelope_schema(table_schema).fields, *kept, *(_FOLDERS[f] for f in folders)])
+
+
+LINE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE}
+
+
+def is_faulty(events: DataFrame) -> Column:
+    """True for a line that does not fit the schema, or an event without operation.
+
+    A ``null`` line is a null payload and no fault. All parts of the event are
+    named, so a misfit in any of them is seen, whatever columns are used later.
+    """
+    content = F.col("before").isNotNull() | F.col("after").isNotNull() | F.col("source").isNotNull()
+    faulty = F.col("op").isNull() & content
+    if UNREADABLE in events.columns:
+        faulty = faulty | F.coalesce(F.trim(UNREADABLE) != "null", F.lit(False))
+    return faulty
+
+
+def fail_on_faulty(events: DataFrame) -> DataFrame:
+    """The events without the column ``unreadable``; a faulty one fails the query."""
+    what = F.concat(F.lit("unreadable event: "), F.coalesce(UNREADABLE, F.lit("no operation")))
+    sound = F.when(is_faulty(events), F.raise_error(what).cast("boolean")).otherwise(F.lit(True))
+    return events.where(sound).drop(UNREADABLE)
 
 
 def read_changes(
@@ -76,17 +106,23 @@ def read_changes(
     table: str,
     schema: T.StructType | None = None,
     folders: Sequence[str] = ("dt",),
+    keep_unreadable: bool = False,
 ) -> DataFrame:
     """Events of one table, with the delivery day ``dt`` as a column.
 
     ``schema`` is the table's schema; event fields beyond it are ignored.
     Without one the schema is inferred, which costs a pass over every file.
     Filters on folder columns skip whole folders.
+
+    A line that is cut off or does not fit the schema fails the query that
+    reads it. With ``keep_unreadable`` it becomes a row with its text in the
+    column ``unreadable`` instead. Without a schema nothing can be checked.
     """
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(log_schema(schema, folders))
-    return reader.json(change_log_path(root, table))
+    path = change_log_path(root, table)
+    if schema is None:
+        return spark.read.json(path)
+    events = spark.read.options(**LINE_OPTIONS).schema(log_schema(schema, folders, unreadable=True)).json(path)
+    return events if keep_unreadable else fail_on_faulty(events)
 
 
 def read_changes_or_empty(
@@ -95,14 +131,15 @@ def read_changes_or_empty(
     table: str,
     schema: T.StructType,
     folders: Sequence[str] = ("dt",),
+    keep_unreadable: bool = False,
 ) -> DataFrame:
     """Like ``read_changes``, but a table without a folder is an empty log."""
     try:
-        return read_changes(spark, root, table, schema, folders)
+        return read_changes(spark, root, table, schema, folders, keep_unreadable)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], log_schema(schema, folders))
+        return spark.createDataFrame([], log_schema(schema, folders, keep_unreadable))
 
 
 def to_envelope(

@@ -6,6 +6,7 @@ own epoch only, so files left over from an earlier one do no harm.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,12 @@ def open_epoch(spark: SparkSession, root: str, epoch: int, position: int) -> Non
     row.coalesce(1).write.mode("append").json(f"{root}/_epochs")
 
 
-def current_epoch(spark: SparkSession, root: str) -> int:
-    """Number of the newest epoch: a single aggregated value."""
-    return epochs(spark, root).agg(F.max("epoch")).first()[0]
+def current_epoch(spark: SparkSession, root: str) -> int | None:
+    """Number of the newest epoch: a single aggregated value; None if none was ever opened."""
+    try:
+        recorded = epochs(spark, root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return recorded.agg(F.max("epoch")).first()[0]

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidemark.schemas import SCHEMAS
 from tidemark.sources.change_log import change_log_path, log_schema
 from tidemark.sources.csv_files import CSV_OPTIONS, snapshot_path
+from tidemark.streaming.files import make_folder
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -71,19 +72,25 @@ def create_changes_table(
     root: str,
     database: str = "bronze",
     schema: T.StructType | None = None,
+    folders: Sequence[str] = ("dt",),
 ) -> str:
-    """External table over a change log, partitioned by its day folders.
+    """External table over a change log, partitioned by its folders.
 
     Event fields beyond ``schema``, the table's schema, are ignored; without
-    one Spark infers it from the files. Does nothing if the table exists, but
-    for taking up day folders that have come since.
+    one Spark infers it from the files. A line that cannot be read fails the
+    query; so does a ``null`` line, which only ``read_changes`` passes over. ``folders`` is ``("epoch", "dt")`` where epochs stand above the days.
+    Does nothing if the table exists, but for taking up folders that have come
+    since. A table without changes yet is empty.
     """
     name = f"`{database}`.`{table}_cdc_external`"
-    columns = "" if schema is None else f"({log_schema(schema).toDDL()})"
-    partitions = "" if schema is None else "PARTITIONED BY (dt)"
+    path = change_log_path(root, table)
+    columns = "" if schema is None else f"({log_schema(schema, folders).toDDL()})"
+    partitions = "" if schema is None else f"PARTITIONED BY ({', '.join(folders)})"
+    if schema is not None:
+        make_folder(spark, path)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} {columns} USING json "
-        f"OPTIONS ('path' = '{change_log_path(root, table)}') {partitions}"
+        f"OPTIONS ('path' = '{path}', 'mode' = 'FAILFAST') {partitions}"
     )
     spark.sql(f"MSCK REPAIR TABLE {name}")
     return name

@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidemark.sources.change_log import change_log_path, log_schema
+from tidemark.sources.change_log import LINE_OPTIONS, change_log_path, fail_on_faulty, log_schema
 from tidemark.streaming.files import make_folder
 
 # A log file is closed after this time or number of events.
 ROLL_INTERVAL = "300 seconds"
 ROLL_EVENTS = 10_000
 
+#: Input of one micro-batch unless told otherwise.
+BATCH_BYTES = 16 << 30
+
 
 def read_change_stream(
     spark: SparkSession,
@@ -24,17 +27,24 @@ def read_change_stream(
     schema: T.StructType,
     max_files: int | None = None,
     folders: Sequence[str] = ("dt",),
+    max_bytes: int = BATCH_BYTES,
+    keep_unreadable: bool = False,
 ) -> DataFrame:
     """Events of one table as they arrive; the folder is created if missing.
 
-    ``max_files`` bounds the files, and so the size, of a micro-batch.
+    A micro-batch holds ``max_bytes`` of files at most (one file at least), or
+    ``max_files`` of them if that is given. An unreadable line stops the query,
+    or with ``keep_unreadable`` is kept as text in the column ``unreadable``.
     """
     path = change_log_path(root, table)
     make_folder(spark, path)
-    reader = spark.readStream.schema(log_schema(schema, folders))
+    reader = spark.readStream.options(**LINE_OPTIONS).schema(log_schema(schema, folders, unreadable=True))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    else:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    events = reader.json(path)
+    return events if keep_unreadable else fail_on_faulty(events)
 
 
 def with_delivery_day(stream: DataFrame) -> DataFrame:

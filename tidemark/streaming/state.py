@@ -45,7 +45,9 @@ def dedupe_stream(
     """First delivery of each event, with state kept for ``delay`` of event time.
 
     ``delay`` must cover both how late a copy may come and how far out of
-    order events arrive: older events count as too late and are dropped.
+    order events arrive: older events count as too late and are dropped. Spark
+    counts them; ``fail_if_dropped`` turns that into an error. Where no bound on
+    lateness is known, use ``append_stream``, which is exact.
 
     A streaming deduplication has no partial step of its own and moves every
     copy of an event to one task. So copies are first reduced within each Arrow
@@ -56,6 +58,17 @@ def dedupe_stream(
     return reduced.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(identity))
 
 
+def fail_if_dropped(query: StreamingQuery) -> None:
+    """Raise if a micro-batch of this run left out rows behind the watermark.
+
+    Looks at the progress reports that Spark keeps, the last 100 by default
+    (``spark.sql.streaming.numRecentProgressUpdates``).
+    """
+    dropped = sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
+    if dropped:
+        raise ValueError(f"{dropped} events came later than the delay and were left out; give a longer delay")
+
+
 def latest_image_stream(stream: DataFrame, keys: Sequence[str], order: str = "lsn") -> DataFrame:
     """Last image per key as a stateful aggregate, for output mode ``update``.
 
