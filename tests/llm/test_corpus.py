@@ -296,6 +296,17 @@ def test_counts_equal_library(libraries):
         assert counter.count(text) == len(libraries[1].encode(text, add_special_tokens=False).ids)
 
 
+def test_all_kinds_of_characters(libraries):
+    encoder, counter = bpe.Encoder("byte_bpe_50k.tiktoken"), token_counts.TokenCounter("byte_bpe_50k.json")
+    newer = [0x1C89, 0xA7CB, 0xA7DC, 0x105C0, 0x10D4A, 0x2EBF0, 0x208F, 0x10940]
+    for c in [*range(0x3000), *range(0x3000, 0x110000, 61), *newer]:
+        if not 0xD800 <= c < 0xE000:
+            text = f"a{chr(c)}b {chr(c)}{chr(c)}1{chr(c)} !{chr(c)}  {chr(c)}'s{chr(c)}"
+            packed = bpe.encode_text(encoder, text, 16_384, 512)
+            assert np.frombuffer(packed, "<u4").tolist() == libraries[0].encode_ordinary(text), hex(c)
+            assert counter.count(text) == len(libraries[1].encode(text, add_special_tokens=False).ids), hex(c)
+
+
 def test_token_queries(spark, libraries, documents, awkward, empty):
     texts = by_id(documents, "text")
     for doc, (n, ids, raw) in by_id(bpe.encoding_digests(documents), "n_tokens", "ids_sha256", "decoded_sha256").items():
@@ -406,6 +417,10 @@ def test_languages_of_awkward_rows(spark, documents, awkward, empty):
     assert found[2] == found[3] == found[4] == ("und", 0.0) and found[1][0] == "en"
     assert found[6][0] in model.languages
     assert language_id.predict_language(empty, model).count() == 0
+    marks = spark.createDataFrame([(1, "\u0301 \u0302"), (2, "12 \u0301a"), (3, "12 ?!")], "doc_id int, text string")
+    named = by_id(language_id.predict_language(marks, model), "lang_pred", "score")
+    assert named[1] == named[3] == ("und", 0.0) and named[2][0] in model.languages
+    assert language_id.keep_identified(marks, model, min_score=0.0).count() == 1
     mixed = "The and was with this of that. De les des une que pour dans. Der die nicht und von eine."
     spans = language_id.language_spans(spark.createDataFrame([(1, mixed)], "doc_id int, text string"), model)
     assert [s.lang for s in spans.first().spans] == ["en", "fr", "de"]

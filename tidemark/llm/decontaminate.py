@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import WORD_BYTES, unused
+from tidemark.llm.common import WORD_BYTES, staged, unused
 from tidemark.llm.suffixes import FMIndex
 
 WINDOW = 10
@@ -164,8 +164,9 @@ def find_passages(
     Each task cuts its documents into shards of at most ``shard`` words, builds
     an FM-index of each and searches all windows in it. Only stretches of words
     that occur in the benchmark enter the index. The benchmark is the query set:
-    it is sent to the tasks in blocks of ``block_words`` words, one pass each,
-    so what is sent at once is bounded.
+    it is sent to the tasks in blocks of ``block_words`` words, one pass each.
+    A pass is written before the next block is read, so the driver and the
+    tasks hold one block at a time.
 
     Null and empty texts have no words; items without words match nothing; a
     null item id reads as the empty string, and rows that repeat an item id are
@@ -177,7 +178,9 @@ def find_passages(
     out = docs.withColumns({n: F.lit(None).cast(k) for n, k in zip(names, kinds)})
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in out.schema])
     at, state_at = docs.columns.index(text), len(docs.columns)
-    for phrases in item_blocks(benchmark, item_id, item_text, block_words):
+    for n, phrases in enumerate(item_blocks(benchmark, item_id, item_text, block_words)):
+        if n:
+            out = staged(out, "benchmark-pass")
         out = out.mapInArrow(_find(phrases, at, state_at, shard), schema)
     return out
 

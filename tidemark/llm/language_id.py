@@ -252,8 +252,10 @@ def _verdicts(model: LanguageModel, texts: list[str | None], spans: bool):
     top = letters.argmax(axis=1)
     total = letters.sum(axis=1)
     score = trust[np.arange(n_docs), top] / np.maximum(total, 1)
-    names = [model.languages[i] if any_ else UNDETERMINED for i, any_ in zip(top.tolist(), (total > 0).tolist())]
-    return names, np.clip(score, 0, 1)
+    # Marks alone make words, but no letters.
+    named = np.array([bool(n) and any(map(str.isalpha, t)) for n, t in zip(total.tolist(), texts)], bool)
+    names = [model.languages[i] if any_ else UNDETERMINED for i, any_ in zip(top.tolist(), named.tolist())]
+    return names, np.where(named, np.clip(score, 0, 1), 0.0)
 
 
 def _blocks(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:

@@ -5,23 +5,37 @@ from __future__ import annotations
 import functools
 import re
 import sys
-import unicodedata
 
 import public_tokenizers
+import tiktoken
 
 #: White space as Unicode defines it; ``re`` itself would add U+001C to U+001F.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 
 
+@functools.cache
+def _members(major: str) -> str:
+    """All code points of one major category, in order, as the tokenizer libraries see them.
+
+    They follow another version of Unicode than Python and its ``regex`` do, so
+    the library is asked which single characters match; each byte is a token.
+    """
+    every = "".join(chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
+    single = {bytes([b]): b for b in range(256)}
+    found = tiktoken.Encoding(major, pat_str=rf"\p{{{major}}}", mergeable_ranks=single, special_tokens={})
+    return bytes(found.encode_ordinary(every)).decode()
+
+
 def _ranges(major: str, top: int) -> str:
     """Character-class ranges of the code points up to ``top`` in one major category."""
     spans: list[list[int]] = []
-    for c in range(top + 1):
-        if unicodedata.category(chr(c))[0] == major:
-            if spans and spans[-1][1] == c - 1:
-                spans[-1][1] = c
-            else:
-                spans.append([c, c])
+    for c in map(ord, _members(major)):
+        if c > top:
+            break
+        if spans and spans[-1][1] == c - 1:
+            spans[-1][1] = c
+        else:
+            spans.append([c, c])
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans)
 
 
