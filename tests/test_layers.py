@@ -71,10 +71,16 @@ def test_small_batch_does_not_shuffle_the_state(spark, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/state")
     batch = spark.createDataFrame([(5, "y", "u", 9)], "key long, status string, op string, lsn long")
     batch.write.parquet(f"{tmp_path}/batch")
-    merged = cdc.merge_batch(stored, spark.read.parquet(f"{tmp_path}/batch"), ["key"])
+    stored_batch = spark.read.parquet(f"{tmp_path}/batch")
+    merged = cdc.merge_batch(stored, stored_batch, ["key"], small=True)
     assert merged.count() == 100_000
     text = plan(merged)
     assert "BroadcastHashJoin [key" in text and "LeftAnti" in text and "SortMergeJoin" not in text
+    # Of the second read only keys are taken.
+    assert text.count("ReadSchema: struct<key:bigint>") >= 1
+    once = cdc.merge_batch(stored, stored_batch, ["key"])
+    assert sorted(once.collect()) == sorted(merged.collect())
+    assert plan(once).split("Initial Plan")[0].count("/state]") == 1
 
 
 def test_item_fact_reads_only_its_columns(spark):

@@ -70,6 +70,21 @@ def test_file_without_quoted_line_breaks_is_split(spark, root):
     assert csv_files.has_quoted_line_breaks(spark, f"{root}/m.csv")
 
 
+@pytest.mark.parametrize("row", ['"o\n1",1,card,1,2.5', "o1,1,card,1", "o1,1,card,1,2.5,more"])
+def test_rows_of_another_shape_fail_whatever_is_read(spark, root, row):
+    put(f"{root}/b.csv", f"a,b,c,d,e\n{row}\n")
+    read = csv_files.load_csv(spark, f"{root}/b.csv", get_schema("payments"))
+    for asked in (read, read.select("order_id"), read.groupBy().count()):
+        with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):
+            asked.collect()
+
+
+def test_free_text_decides_how_files_are_read(spark, root):
+    assert all(csv_files.may_hold_line_breaks(get_schema(t)) for t in ("order_reviews", "sellers"))
+    assert not any(csv_files.may_hold_line_breaks(get_schema(t)) for t in ("orders", "order_items", "payments"))
+    assert csv_files.may_hold_line_breaks(spark.createDataFrame([], "n int, note string").schema)
+
+
 def test_snapshot_round_trip(spark, root):
     schema = get_schema("order_reviews")
     moment = dt.datetime(2026, 1, 2, 3, 4, 5, 678901)

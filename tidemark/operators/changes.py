@@ -154,20 +154,30 @@ def latest_state(log: DataFrame, keys: Sequence[str], order: str = "lsn") -> Dat
     return live(latest_image(log, keys, order))
 
 
-def merge_batch(state: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_batch(state: DataFrame, changes: DataFrame, keys: Sequence[str], small: bool = False) -> DataFrame:
     """State after a further batch of changes, deletes kept.
 
-    Only keys named by the batch are compared. State rows of other keys pass
-    through an anti join, which Spark broadcasts when the batch's keys are
-    small enough, so a small batch does not shuffle a large state. Write the
-    result to a new path, never to the one ``state`` reads. Keys must not be
-    null.
+    The batch is reduced to one row per key and joined to the state, which is
+    read and shuffled once; per key the higher position wins. For a batch that is
+    ``small`` next to the state the join keeps to state rows, so Spark can
+    broadcast the batch and leave the state where it is; keys that are new are
+    then found by a second read of the key columns alone.
+
+    ``state`` has one row per key. Write the result to a new path, never to the
+    one ``state`` reads. Keys must not be null.
     """
-    touched_keys = changes.select(*keys).distinct()
-    touched = state.join(touched_keys, list(keys), "left_semi")
-    untouched = state.join(touched_keys, list(keys), "left_anti")
-    winners = latest_image(touched.unionByName(changes.select(*state.columns)), keys)
-    return untouched.unionByName(winners)
+    columns = state.columns
+    last = latest_image(changes.select(*columns), keys)
+    held = state.select(*keys, F.struct(*columns).alias("_held"))
+    new = last.select(*keys, F.struct(*columns).alias("_new"))
+    no_position = F.col("_held.lsn").isNull() & F.col("_new").isNotNull()
+    newer = F.col("_held").isNull() | F.coalesce(F.col("_new.lsn") >= F.col("_held.lsn"), no_position)
+    merged = held.join(new, list(keys), "left" if small else "full_outer")
+    merged = merged.select(F.when(newer, F.col("_new")).otherwise(F.col("_held")).alias("_row")).select("_row.*")
+    if not small:
+        return merged
+    known = state.select(*keys).join(last.select(*keys), list(keys), "left_semi")
+    return merged.unionByName(last.join(known, list(keys), "left_anti"))
 
 
 def current_state(snapshot: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:

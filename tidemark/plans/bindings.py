@@ -120,7 +120,7 @@ class Bindings:
         )
 
     def order_reviews(self) -> DataFrame:
-        return self.raw("conversations").where("role = 'user'").selectExpr(
+        return self.raw("conversations").selectExpr(
             "CAST(conv_id AS STRING) AS review_id",
             "CAST(conv_id AS STRING) AS order_id",
             "1 + length(text) % 5 AS review_score",

@@ -63,7 +63,7 @@ SHAPES = {
         SELECT CAST(conv_id AS VARCHAR) AS review_id, CAST(conv_id AS VARCHAR) AS order_id,
                CAST(1 + length(text) % 5 AS INT) AS review_score, CAST(NULL AS VARCHAR) AS review_comment_title,
                text AS review_comment_message
-        FROM conversations WHERE role = 'user'""",
+        FROM conversations""",
     "changes": """
         SELECT event_id AS lsn, user_id AS key, ts AS event_time, CAST(ts AS DATE) AS dt,
                CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op,
@@ -157,8 +157,13 @@ ACCOUNTS_AFTER = """
               SELECT key, status, value, op, lsn FROM changes WHERE {0}) everything) ranked
     WHERE n = 1 AND op <> 'd'"""
 
+PAYLOAD = """CAST(sum(key) AS BIGINT) AS sum_key,
+    CAST(sum(length(status)) FILTER (WHERE op <> 'd') AS BIGINT) AS status_chars,
+    CAST(sum(epoch_us(event_time) % 1000000000) FILTER (WHERE op <> 'd') AS BIGINT) AS sum_micros,
+    CAST(sum(CAST(floor(value * 100) AS BIGINT)) FILTER (WHERE op <> 'd') AS BIGINT) AS sum_cents"""
+
 ROUTED = """
-    SELECT lsn, op, dt, CASE WHEN op = 'd' THEN 'payments' WHEN status = 'created' THEN 'customers'
+    SELECT lsn, op, dt, key, status, event_time, value, CASE WHEN op = 'd' THEN 'payments' WHEN status = 'created' THEN 'customers'
         WHEN status = 'approved' THEN 'geolocation' WHEN status = 'processing' THEN 'order_items'
         WHEN status = 'shipped' THEN 'orders' ELSE 'payments' END AS "table" FROM changes"""
 
@@ -284,15 +289,16 @@ _ORACLES = {
     "o08_quoted_csv": "SELECT CAST(doc_id AS VARCHAR) AS review_id, text AS review_comment_message FROM documents",
     "o09_read_changes": f"SELECT {IMAGE}, CAST(dt AS VARCHAR) AS dt FROM changes",
     "o09_changes_table": f"SELECT {IMAGE}, CAST(dt AS VARCHAR) AS dt FROM changes",
-    "o10_partition_discovery": """
-        SELECT CAST(dt AS VARCHAR) AS dt, count(*) AS events, CAST(sum(lsn) AS BIGINT) AS sum_lsn
+    "o10_partition_discovery": f"""
+        SELECT CAST(dt AS VARCHAR) AS dt, count(*) AS events, CAST(sum(lsn) AS BIGINT) AS sum_lsn, {PAYLOAD}
         FROM changes GROUP BY dt""",
     "o10_epoch_partitions": f"""
         SELECT CASE WHEN dt < DATE '2024-01-16' THEN 1 ELSE 2 END AS epoch, CAST(dt AS VARCHAR) AS dt, lsn, key, op, status
         FROM (SELECT {IMAGE}, dt FROM changes)""",
     "o11_change_log_sink": f"""
-        SELECT "table", CAST(dt AS VARCHAR) AS dt, count(*) AS events, CAST(sum(lsn) AS BIGINT) AS sum_lsn
-        FROM ({ROUTED}) WHERE "table" <> 'geolocation' GROUP BY ALL""",
+        SELECT "table", CAST(dt AS VARCHAR) AS dt, count(*) AS events, CAST(sum(lsn) AS BIGINT) AS sum_lsn,
+               {PAYLOAD}
+        FROM ({ROUTED}) WHERE "table" <> 'geolocation' GROUP BY "table", dt""",
     "o12_route_changes": f"""
         SELECT 'shop.public.' || "table" AS topic, lsn, op FROM ({ROUTED}) WHERE "table" <> 'geolocation'""",
     "o13_snapshot_diff": f"""
@@ -351,11 +357,12 @@ _ORACLES = {
         SELECT 'payments', order_id, payment_type, payment_value FROM payments
         UNION ALL
         SELECT 'payments', CAST(key AS VARCHAR), 'credit_card', CAST(floor(value) AS DOUBLE) FROM changes
-        WHERE status = 'shipped' AND dt >= DATE '2024-01-16'""",
+        WHERE dt >= DATE '2024-01-16'""",
     "o24_append_only_state": """
         SELECT * FROM payments
         UNION ALL
-        SELECT CAST(key AS VARCHAR), 1, 'credit_card', 1, CAST(floor(value) AS DOUBLE) FROM changes WHERE status = 'shipped'""",
+        SELECT CAST(key AS VARCHAR), 1, 'credit_card', 1, CAST(floor(value) AS DOUBLE) FROM changes""",
+    "o24_append_stream": "SELECT lsn, key, 'c' AS op, status, event_time, value FROM changes",
     "o25_geolocation_unique": "SELECT * FROM places",
     "o26_translate_category": """
         SELECT p.* REPLACE (coalesce(product_category_name_english, p.product_category_name) AS product_category_name)
@@ -383,10 +390,11 @@ _ORACLES = {
           ON p.product_id = i.product_id""",
     "o36_place_or_default": """
         SELECT customer_id, customer_zip_code_prefix,
-               CASE WHEN geolocation_state <> 'ASIA' THEN geolocation_zip_code_prefix ELSE 10000 END AS place_zip,
-               CASE WHEN geolocation_state <> 'ASIA' THEN geolocation_city ELSE 'Sao Paulo' END AS place_city,
-               CASE WHEN geolocation_state <> 'ASIA' THEN geolocation_state ELSE 'SP' END AS place_state
-        FROM customers LEFT JOIN places ON customer_zip_code_prefix = geolocation_zip_code_prefix""",
+               coalesce(geolocation_zip_code_prefix, 10000) AS place_zip,
+               coalesce(geolocation_city, 'Sao Paulo') AS place_city,
+               coalesce(geolocation_state, 'SP') AS place_state
+        FROM (SELECT customer_id, CAST(customer_zip_code_prefix + 10 AS INT) AS customer_zip_code_prefix FROM customers)
+        LEFT JOIN places ON customer_zip_code_prefix = geolocation_zip_code_prefix""",
     "o37_dim_customers": DIM_PLACE.format(
         columns="customer_id, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state",
         table="customers", zip="customer_zip_code_prefix"),
@@ -532,9 +540,11 @@ _ORACLES = {
         FROM orders_v""",
     "o51_change_stream": f"SELECT {IMAGE}, CAST(dt AS VARCHAR) AS dt FROM changes",
     "o52_resume": "SELECT lsn, key, op, CAST(dt AS VARCHAR) AS dt FROM changes",
-    "o53_micro_batches": "SELECT op, count(*) AS events, CAST(sum(lsn) AS BIGINT) AS sum_lsn FROM changes GROUP BY op",
+    "o53_micro_batches": f"""
+        SELECT op, count(*) AS events, CAST(sum(lsn) AS BIGINT) AS sum_lsn, {PAYLOAD} FROM changes GROUP BY op""",
     "o54_dedupe_stream": f"SELECT lsn, key, op, status, value FROM (SELECT {IMAGE} FROM changes)",
     "o55_upsert_stream": f"SELECT * FROM ({LATEST}) WHERE op <> 'd'",
+    "o55_upsert_restart": f"SELECT * FROM ({LATEST}) WHERE op <> 'd'",
     "o56_late_data": f"SELECT * FROM ({LATEST}) WHERE op <> 'd'",
     "o57_order_features": f"""
         SELECT o.order_id, CAST(coalesce(items, 0) AS DOUBLE) AS items, coalesce(CAST(price AS DOUBLE), 0) AS value,

@@ -159,6 +159,16 @@ def _parse(text: str) -> T.StructType:
 SCHEMAS = {name: _parse(text) for name, text in COLUMNS.items()}
 
 
+#: Columns of text that is written by rule, so no value goes over several lines:
+#: ids and vocabularies, but no names of places and no comments.
+ONE_LINE = frozenset(
+    f.name
+    for s in SCHEMAS.values()
+    for f in s.fields
+    if f.name.endswith("_id") or f.name in ("order_status", "payment_type")
+)
+
+
 def get_schema(table: str) -> T.StructType | None:
     """Fixed schema of a table; None for an unknown name."""
     return SCHEMAS.get(table)

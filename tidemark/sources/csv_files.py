@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.schemas import ONE_LINE
+
 # Comma-delimited, double quotes doubled inside quoted values, line breaks
 # allowed inside quotes, blanks kept.
 CSV_OPTIONS = {
@@ -18,6 +20,8 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
     # A value that no field has: so an empty field is null and "" the empty string.
     "nullValue": "\u0001",
+    # Else a record of another shape passes where only some columns are read.
+    "columnPruning": "false",
 }
 
 # Without these Spark would cut timestamps to milliseconds and trim values.
@@ -34,6 +38,11 @@ def snapshot_path(root: str, table: str) -> str:
     return f"{root}/{table}/snapshot"
 
 
+def may_hold_line_breaks(schema: T.StructType) -> bool:
+    """Whether the schema has text that is not known to stay on one line."""
+    return any(isinstance(f.dataType, T.StringType) and f.name not in ONE_LINE for f in schema.fields)
+
+
 def has_quoted_line_breaks(spark: SparkSession, path: str) -> bool:
     """Whether a record goes over several lines: some line then holds an odd number of quotes.
 
@@ -48,11 +57,13 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bo
 
     A file with line breaks inside quotes cannot be split: one task reads one
     file, so such tables should come in files of a few hundred MB, as
-    ``write_snapshot`` makes them. Unless ``multiline`` says so, the files are
-    looked through first, and split if no record needs the unsplit reader.
+    ``write_snapshot`` makes them. Unless ``multiline`` says so, the schema
+    decides: files without other text than ids and vocabularies are split, and a
+    line break in one of those fails the load. Where there is more text, the files are looked
+    through first, and split if no record needs the unsplit reader.
     """
     if multiline is None:
-        multiline = has_quoted_line_breaks(spark, path)
+        multiline = may_hold_line_breaks(schema) and has_quoted_line_breaks(spark, path)
     options = {**CSV_OPTIONS, "multiLine": str(multiline).lower(), "mode": "FAILFAST"}
     return spark.read.schema(schema).options(**options).csv(path)
 

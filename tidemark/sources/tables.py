@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.schemas import SCHEMAS
 from tidemark.sources.change_log import change_log_path, log_schema
-from tidemark.sources.csv_files import CSV_OPTIONS, snapshot_path
+from tidemark.sources.csv_files import CSV_OPTIONS, may_hold_line_breaks, snapshot_path
 from tidemark.streaming.files import make_folder
 
 LAYERS = ("bronze", "silver", "gold")
@@ -40,7 +40,8 @@ def create_snapshot_table(
 ) -> str:
     """External table over a snapshot folder; does nothing if it exists.
 
-    A row that does not fit fails the query that reads it.
+    A row that does not fit fails the query that reads it. Files are split
+    unless the schema has free text or is not given.
     Without ``schema`` Spark infers it, which costs a pass over the files.
     """
     name = f"`{database}`.`{table}_snapshot_external`"
@@ -49,6 +50,7 @@ def create_snapshot_table(
     if schema is None:
         options["inferSchema"] = "true"
     else:
+        options["multiLine"] = str(may_hold_line_breaks(schema)).lower()
         # CSV cannot enforce NOT NULL; required columns are a quality rule.
         columns = "(" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + ")"
     settings = ", ".join(f"'{k}' = '{v}'" for k, v in options.items())

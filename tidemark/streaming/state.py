@@ -24,6 +24,10 @@ from tidemark.streaming.files import delete_folder, finished_folders
 from tidemark.streaming.log import ROLL_INTERVAL, start
 
 
+#: Changes are small next to a state of over so many times as many rows.
+SMALL_SHARE = 20
+
+
 def _first_of_copies(identity: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Keep the first row per identity of each Arrow batch."""
 
@@ -97,7 +101,10 @@ def _merged(spark: SparkSession, path: str, keys: Sequence[str], base: int | Non
     if not deltas:
         return state
     changes = spark.read.parquet(*(f"{path}/delta/{n:09d}" for n in deltas))
-    return latest_image(changes, keys) if state is None else merge_batch(state, changes, keys)
+    if state is None:
+        return latest_image(changes, keys)
+    # Row counts stand in the file footers.
+    return merge_batch(state, changes, keys, small=changes.count() * SMALL_SHARE < state.count())
 
 
 def _numbers_from(spark: SparkSession, path: str, checkpoint: str, take_over: bool) -> int:
