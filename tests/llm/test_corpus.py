@@ -231,6 +231,14 @@ def test_plain_text_equals_a_parser(spark):
         assert warc.plain_text(page) == "\n".join(x for x in lines if x)
 
 
+@pytest.mark.parametrize("name", ["title-bar", "template-card", "style-guide", "script:x", "noscript.y", "TITLE-Bar"])
+def test_custom_elements_hide_nothing(name):
+    page = f'<html-view lang=xx><html lang=en><p>a</p><{name} k=1>b</{name}><title>T</title><p>rest <a href="/x">of</a> page</p>'
+    assert warc.plain_text(page) == "a\nb\nrest of page"
+    assert warc.page_facts(page) == {"title": "T", "lang": "en", "links": ["/x"]}
+    assert warc.plain_text("<p>a<style\ntype=x>b</style><title/>c</title >d") == "ad"
+
+
 def test_derivatives_are_linked_and_written(spark, tmp_path):
     rows = [(1, "http://a/", "<html lang=fr><title>T &amp; t</title><a href='/x?a&amp;b'>é</a>"), (2, None, None), (None, "http://b/\r\n", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")

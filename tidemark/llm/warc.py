@@ -14,8 +14,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: What ends a tag name; ``\b`` would also end it within a custom element such as <title-bar>.
+_NAME_END = r"(?=[\s/>])"
 _HIDDEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I
+    rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title){_NAME_END}[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I
 )
 _BLOCK = (
     "address article aside blockquote body br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
@@ -23,8 +25,8 @@ _BLOCK = (
 )
 _TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)(?:[^\"'>]|\"[^\"]*\"|'[^']*')*+>|</?[a-zA-Z!?][^>]*+>?")
 _LINK = re.compile(r"<a\s(?:[^>]*?\s)?href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
-_LANG = re.compile(r"<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
+_TITLE = re.compile(rf"<title{_NAME_END}[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
+_LANG = re.compile(rf"<html{_NAME_END}[^>]*?\slang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
 _BLOCKS = frozenset(_BLOCK.split())
 
 
