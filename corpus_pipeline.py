@@ -9,7 +9,8 @@ from tidemark.llm import bpe, decontaminate, language_id, line_dedup, simhash
 from tidemark.llm.common import staged, unused
 from tidemark.llm.queries import table
 
-#: Documents go only if no language stands out at all; mixed ones stay.
+#: Documents go only if their words speak for no language at all; mixed ones stay,
+#: as the certainty of the words is summed over all languages in a document.
 MIN_LANGUAGE_SCORE = 0.2
 
 

@@ -458,6 +458,23 @@ def test_pipeline_stages(spark):
     assert done.where("NOT round_trip").count() == 0 and done.count() == docs.count()
 
 
+def test_evenly_mixed_documents_stay(spark):
+    rng = random.Random(7)
+    alphabets = ["abcd", "efgh", "ijkl", "mnop", "qrst", "uvwx"]
+
+    def prose(letters, n=40):
+        return " ".join("".join(rng.choice(letters) for _ in range(4)) for _ in range(n))
+
+    rows = [(i, prose(alphabets[i % 6]), f"l{i % 6}", "s", 199) for i in range(120)]
+    rows += [(120 + k, " ".join(map(prose, alphabets[: k + 1])), None, "s", 1) for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    model = language_id.fit_language_model(language_id.training_rows(docs))
+    scores = by_id(language_id.predict_language(docs, model), "score")
+    assert scores[125] < corpus_pipeline.MIN_LANGUAGE_SCORE
+    kept = corpus_pipeline.identify_language(spark, docs, TINY)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(126))
+
+
 def test_pipeline_of_awkward_rows(spark, awkward, empty):
     for rows in (awkward, empty):
         docs = rows

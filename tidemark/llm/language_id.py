@@ -222,11 +222,11 @@ def fit_language_model(
 
 
 def _verdicts(model: LanguageModel, texts: list[str | None], spans: bool):
-    """Per text (language, score), or its spans."""
+    """Per text (language, score, certainty of all its words together), or its spans."""
     words = words_of(texts)
     n_docs, n = len(texts), len(words.doc)
     if not n or not model.languages:
-        return [[] for _ in texts] if spans else ([UNDETERMINED] * n_docs, np.zeros(n_docs))
+        return [[] for _ in texts] if spans else ([UNDETERMINED] * n_docs, np.zeros(n_docs), np.zeros(n_docs))
     scores = model.word_scores(words)
     labels = model.label(words, scores, n_docs)
     if spans:
@@ -252,10 +252,11 @@ def _verdicts(model: LanguageModel, texts: list[str | None], spans: bool):
     top = letters.argmax(axis=1)
     total = letters.sum(axis=1)
     score = trust[np.arange(n_docs), top] / np.maximum(total, 1)
+    certainty = trust.sum(axis=1) / np.maximum(total, 1)
     # Marks alone make words, but no letters.
     named = np.array([bool(n) and any(map(str.isalpha, t)) for n, t in zip(total.tolist(), texts)], bool)
     names = [model.languages[i] if any_ else UNDETERMINED for i, any_ in zip(top.tolist(), named.tolist())]
-    return names, np.where(named, np.clip(score, 0, 1), 0.0)
+    return names, *(np.where(named, np.clip(x, 0, 1), 0.0) for x in (score, certainty))
 
 
 def _blocks(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
@@ -273,7 +274,7 @@ def _name_texts(model: LanguageModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in _blocks(batch.column(0)):
-                names, score = _verdicts(model, texts, spans=False)
+                names, score, _ = _verdicts(model, texts, spans=False)
                 rest = [batch.column(i).slice(start, len(texts)) for i in range(1, batch.num_columns)]
                 yield pa.record_batch(
                     [*rest, pa.array(names), pa.array(score)], [*batch.schema.names[1:], "lang_pred", "score"]
@@ -297,17 +298,19 @@ def predict_language(docs: DataFrame, model: LanguageModel, *, doc_id: str = "do
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, *, text: str = "text", min_score: float) -> DataFrame:
-    """Rows of ``docs``, all columns, whose text has a language with at least ``min_score``.
+    """Rows of ``docs``, all columns, whose words speak for their languages with at least ``min_score``.
 
-    Rows that ``predict_language`` would call ``und`` go.
+    Every letter counts with how clearly its word speaks for the language of its
+    span, whichever that is, so a text does not go for being mixed. Rows that
+    ``predict_language`` would call ``und`` go.
     """
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in _blocks(batch.column(at)):
-                names, score = _verdicts(model, texts, spans=False)
-                kept = (score >= min_score) & (np.array(names, object) != UNDETERMINED)
+                names, _, certainty = _verdicts(model, texts, spans=False)
+                kept = (certainty >= min_score) & (np.array(names, object) != UNDETERMINED)
                 yield batch.slice(start, len(texts)).filter(pa.array(kept))
 
     return docs.mapInArrow(run, docs.schema)
