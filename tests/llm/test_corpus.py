@@ -436,6 +436,20 @@ def test_languages_of_awkward_rows(spark, documents, awkward, empty):
     assert {r.lang_pred for r in language_id.predict_language(awkward, untaught).collect()} == {"und"}
 
 
+def test_copies_do_not_crowd_out_languages(spark):
+    rng = random.Random(8)
+    prose = {x: [" ".join("".join(rng.choice(x) for _ in range(4)) for _ in range(30)) for _ in range(20)] for x in ("abcd", "efgh")}
+    once = [(t, x) for x, texts in prose.items() for t in texts]
+    copied = once + [(t, "abcd") for t in prose["abcd"] for _ in range(200)]
+
+    def fit(rows, **limit):
+        return language_id.fit_language_model(spark.createDataFrame(rows, "text string, lang string"), **limit)
+
+    # At most 20 texts a language: all of them are drawn, and copies do not count.
+    a, b = fit(once, max_rows_per_language=20), fit(copied, max_rows_per_language=20)
+    assert a.languages == b.languages == ["abcd", "efgh"] and (a.weights == b.weights).all()
+
+
 # Pipeline
 
 

@@ -172,38 +172,42 @@ def fit_language_model(
 ) -> LanguageModel:
     """Model from a bounded sample of the labelled rows of ``docs``.
 
-    Of each language about ``max_rows_per_language`` whole texts are drawn by
-    hash; rows whose text or language is null are not used. Features are counted
+    Of each language about ``max_rows_per_language`` different texts are drawn by
+    hash, and each counts once, however many copies it has; rows whose text or
+    language is null are not used. Features are counted
     in tasks and summed per language and bucket, so the driver receives at most
     ``BUCKETS`` numbers a language. Weights are log-likelihoods against the mean
     of all languages. A language uses a script if it has 1 % of its letters in it.
     """
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    rows = rows.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    # Counted without reading texts; null texts only make the sample smaller.
-    sizes = docs.where(F.col(lang).isNotNull()).groupBy(F.col(lang).cast("string").alias("lang")).count()
-    sizes = staged(sizes, "language-sizes")
+    rows = rows.select(
+        F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("text_hash")
+    )
+    # Only hashes are shuffled for this, and below only the texts that are drawn.
+    sizes = staged(rows.select("lang", "text_hash").distinct().groupBy("lang").count(), "language-sizes")
     if len(sizes.take(FEW_LANGUAGES + 1)) <= FEW_LANGUAGES:
         sizes = F.broadcast(sizes)
     drawn = (
         rows.join(sizes, "lang")
-        .where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) * F.col("count") < max_rows_per_language * 1_000_000)
+        .where(F.pmod("text_hash", F.lit(1_000_000)) * F.col("count") < max_rows_per_language * 1_000_000)
+        .groupBy("lang", "text_hash")
+        .agg(F.min("text").alias("text"))
         .select("text", "lang")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = np.array(batch.column(1).to_pylist(), object)
-            for lang in sorted(set(langs)):
-                rows = np.flatnonzero(langs == lang)
-                found = words_of([batch.column(0)[int(i)].as_py() for i in rows])
-                counts = np.bincount(found.features.ravel(), minlength=BUCKETS)
-                counts += np.bincount(found.whole, minlength=BUCKETS)
-                scripts = np.bincount(found.script, found.length, minlength=len(SCRIPTS) + 2).astype(np.int64)
-                keys = np.concatenate([np.flatnonzero(counts), -1 - np.flatnonzero(scripts)])
-                values = np.concatenate([counts[counts > 0], scripts[scripts > 0]])
-                names = pa.array([lang] * len(keys))
-                yield pa.record_batch([names, pa.array(keys), pa.array(values)], ["lang", "key", "n"])
+            for start, texts in _blocks(batch.column(0)):
+                langs = batch.column(1).slice(start, len(texts)).to_pylist()
+                for lang in sorted(set(langs)):
+                    found = words_of([t for t, own in zip(texts, langs) if own == lang])
+                    counts = np.bincount(found.features.ravel(), minlength=BUCKETS)
+                    counts += np.bincount(found.whole, minlength=BUCKETS)
+                    scripts = np.bincount(found.script, found.length, minlength=len(SCRIPTS) + 2).astype(np.int64)
+                    keys = np.concatenate([np.flatnonzero(counts), -1 - np.flatnonzero(scripts)])
+                    values = np.concatenate([counts[counts > 0], scripts[scripts > 0]])
+                    names = pa.array([lang] * len(keys))
+                    yield pa.record_batch([names, pa.array(keys), pa.array(values)], ["lang", "key", "n"])
 
     counted = drawn.mapInArrow(run, "lang string, key long, n long")
     table = counted.groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow()
