@@ -145,6 +145,25 @@ def test_near_duplicates_of_awkward_rows(awkward, empty):
     assert not {3, 4} & {r.doc_id for r in kept}
 
 
+def test_near_copies_without_ids_leave_one(spark):
+    # Two texts whose fingerprints are near but not equal.
+    words = [f"w{i}" for i in range(300)]
+    text = " ".join(words)
+    other = next(
+        t
+        for i in range(300)
+        for t in [" ".join(words[:i] + ["other"] + words[i + 1 :])]
+        if 1 <= (simhash.simhash(text) ^ simhash.simhash(t)).bit_count() <= 3
+    )
+    far = " ".join(f"v{i}" for i in range(300))
+    docs = spark.createDataFrame([(None, t) for t in (text, other, other, far)] + [(7, text[::-1]), (7, far[::-1])], "doc_id long, text string")
+    kept = simhash.one_per_component(docs).collect()
+    nameless = [r.text for r in kept if r.doc_id is None]
+    assert len(nameless) == 2 and far in nameless
+    # One id on two unlike texts: neither is a copy of the other.
+    assert sum(r.doc_id == 7 for r in kept) == 2
+
+
 # Suffix arrays, quality rules
 
 

@@ -233,10 +233,11 @@ def near_duplicate_components(
     budget: int = 3,
     split_at: int = 100_000,
 ) -> DataFrame:
-    """(doc_id, fp, text_hash, component_id), one row per row of ``docs``.
+    """(doc_id, fp, text_hash, component_id, root), one row per row of ``docs``.
 
     Texts whose fingerprints differ in at most ``budget`` bits are linked;
-    ``component_id`` is the smallest doc_id that can be reached. Equal
+    ``component_id`` is the smallest doc_id that can be reached, and ``root`` the
+    smallest fingerprint, which every component has and no two share. Equal
     fingerprints are one node, so copies make no pairs.
 
     Null and empty texts have fingerprint zero and are linked like others.
@@ -251,8 +252,8 @@ def near_duplicate_components(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "text_hash", "component_id")
+    named = rooted.join(ids, "root").select("fp", "component_id", "root")
+    return fps.join(named, "fp").select("doc_id", "fp", "text_hash", "component_id", "root")
 
 
 def one_per_component(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -264,9 +265,8 @@ def one_per_component(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     """
     found = near_duplicate_components(docs, doc_id=doc_id, text=text)
     ranked = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
-    # A component without any doc_id has a null id; its fingerprint keeps it apart.
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
-    chosen = found.groupBy(group.alias("g")).agg(F.min(ranked).alias("c"))
+    # Not by component_id: it is null without any doc_id, and a repeated doc_id may stand for two components.
+    chosen = found.groupBy("root").agg(F.min(ranked).alias("c"))
     key, hashed = unused(docs, "chosen_doc", "chosen_hash")
     chosen = chosen.select(F.col("c.doc_id").alias(key), F.col("c.text_hash").alias(hashed)).distinct()
     (own,) = unused(docs, "own_hash")
