@@ -171,11 +171,11 @@ def test_suffix_array_and_prefixes():
     rng = np.random.default_rng(2)
     for _ in range(30):
         symbols = np.append(rng.integers(0, 4, 60), 0)
-        order, levels = suffixes.sort_suffixes(symbols)
+        order, rank, lcp = suffixes.sort_suffixes(symbols)
         gaps = iter(range(-100, 0))
         unique = [next(gaps) if s == 0 else int(s) for s in symbols]
         assert order.tolist() == sorted(range(61), key=lambda i: unique[i:])
-        lcp = suffixes.common_prefixes(order, levels)
+        assert rank[order].tolist() == list(range(61))
         for k in range(1, 61):
             a, b, n = unique[order[k - 1] :], unique[order[k] :], 0
             while n < min(len(a), len(b)) and a[n] == b[n]:

@@ -39,3 +39,11 @@ def unused(df: DataFrame, *names: str) -> list[str]:
 def remainder(doc_id: str, divisor: int) -> Column:
     """crc32 of a key's text modulo ``divisor``; null for a null key."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % divisor
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the crc32 of an ASCII text that is not empty."""
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ord(x) AS BIGINT))"
+    bits = "list_prepend(xor(c, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[]))"
+    step = f"list_reduce({bits}, lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda c, b: {step}), 4294967295)"

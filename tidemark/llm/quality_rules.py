@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.suffixes import common_prefixes, sort_suffixes
+from tidemark.llm.suffixes import sort_suffixes
 
 SYMBOLS = b"#*$%&|<>"
 _BLANKS = b" \t\n\v\f\r"
@@ -50,8 +50,7 @@ def repetition(ids: list[np.ndarray], min_words: int, shingle: int = 3) -> tuple
         # A word of another document is another symbol.
         flat = np.concatenate(ids).astype(np.int64)
         words[inside] = doc[inside] * (int(flat.max()) + 1) + flat
-    order, levels = sort_suffixes(words)
-    lcp = common_prefixes(order, levels)
+    order, _, lcp = sort_suffixes(words)
     repeat = np.empty(len(words), np.int64)
     repeat[order] = np.maximum(lcp, np.append(lcp[1:], 0))
     n = len(words)

@@ -14,9 +14,12 @@ from tidemark.llm import (
     decontaminate,
     language_id,
     line_dedup,
+    periodic_runs,
     quality_rules,
     simhash,
+    structure_repair,
     token_counts,
+    topk_search,
     toxicity,
     warc,
 )
@@ -91,6 +94,19 @@ def language_query(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict_language(docs, model).withColumn("held_out", held_out)
 
 
+def topk_query(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def runs_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs = periodic_runs.cycled_tails(table(spark, folder, "documents"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
+
+
+def repair_query(spark: SparkSession, folder: str) -> DataFrame:
+    return structure_repair.repair_query(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_dedup_query,
     "op2_simhash": simhash_query,
@@ -102,6 +118,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": chat_query,
     "op9_token_counts": token_count_query,
     "op10_language_id": language_query,
+    "op11_topk_search": topk_query,
+    "op12_periodic_runs": runs_query,
+    "op13_structure_repair": repair_query,
 }
 
 ORACLES: dict[str, str] = {
@@ -109,4 +128,7 @@ ORACLES: dict[str, str] = {
     "op3_quality_rules": quality_rules.QUALITY_SQL,
     "op7_decontamination": decontaminate.PASSAGES_SQL,
     "op8_chat_format": chat_format.CHAT_SQL,
+    "op11_topk_search": topk_search.TOPK_SQL,
+    "op12_periodic_runs": periodic_runs.RUNS_SQL,
+    "op13_structure_repair": structure_repair.REPAIR_SQL,
 }
