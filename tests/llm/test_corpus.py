@@ -455,6 +455,30 @@ def test_languages_of_awkward_rows(spark, documents, awkward, empty):
     assert {r.lang_pred for r in language_id.predict_language(awkward, untaught).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("order", [1, -1])
+def test_a_language_without_letters(spark, order):
+    rows = [(1, "hello there world", "en"), (2, "123 456", "xx"), (3, "", "yy"), (4, "bonjour le monde", "fr")]
+    docs = spark.createDataFrame(rows[::order], "doc_id long, text string, lang string").coalesce(1)
+    model = language_id.fit_language_model(docs)
+    assert model.languages == ["en", "fr"]
+    found = by_id(language_id.predict_language(docs, model), "lang_pred")
+    assert found == {1: "en", 2: "und", 3: "und", 4: "fr"}
+
+
+def test_long_texts_are_labelled_in_portions(documents, monkeypatch):
+    model = language_id.fit_language_model(documents.where("lang in ('en', 'fr', 'de')"))
+    texts = [r.text for r in documents.where("lang in ('en', 'fr')").orderBy("doc_id").limit(40).collect()]
+    long = " ".join(texts[::2]) + "\n" + " ".join(texts[1::2])
+    whole, spans = language_id._verdicts(model, [long]), language_id._spans(model, [long])
+    monkeypatch.setattr(language_id, "BLOCK_CELLS", 4 * 1_000)
+    parts = list(language_id._portions([long], 1_000))
+    assert len(parts) > 5 and "".join(p[0] for p in parts) == long
+    names, score, certainty = language_id._verdicts(model, [long])
+    assert names == whole[0] and np.allclose([score, certainty], whole[1:], atol=1e-5)
+    assert language_id._spans(model, [long]) == spans
+    assert language_id._verdicts(model, ["x" * 5_000])[0][0] in model.languages
+
+
 def test_copies_do_not_crowd_out_languages(spark):
     rng = random.Random(8)
     prose = {x: [" ".join("".join(rng.choice(x) for _ in range(4)) for _ in range(30)) for _ in range(20)] for x in ("abcd", "efgh")}

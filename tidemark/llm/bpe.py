@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.pretokens import pattern_for
+from tidemark.llm.pretokens import character_spans, pattern_for, use_spans
 
 
 def chunk_bounds(length: int, chunk: int, overlap: int) -> list[tuple[int, int]]:
@@ -182,7 +182,10 @@ def encode_documents(
     fields = [T.StructField(f.name, f.dataType, True) for f in docs.schema]
     fields[at] = T.StructField(ids, T.BinaryType(), True)
 
+    spans = character_spans()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_spans(spans)
         encoder = _encoder(tokenizer)
         for batch in batches:
             packed = [encode_text(encoder, t.as_py() or "", chunk, overlap) for t in batch.column(at)]

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +37,8 @@ SCRIPTS = {
 }
 
 BUCKETS = 1 << 15
-#: Characters that are scored at once; bounds a task's memory.
-BLOCK_CHARS = 1_000_000
+#: Numbers (characters x languages) that are scored at once; bounds a task's memory.
+BLOCK_CELLS = 1_000_000
 #: So many languages at most make a table that is broadcast.
 FEW_LANGUAGES = 1_000
 
@@ -136,32 +137,47 @@ class LanguageModel:
         Changing the language between two words costs ``penalty``. All texts are
         walked at once, the t-th words of texts with more than t words together.
         """
-        n_words = np.bincount(words.doc, minlength=n_docs)
-        start = np.cumsum(n_words) - n_words
-        by_size = np.argsort(-n_words, kind="stable")
-        sizes, start = n_words[by_size], start[by_size]
-        open_ = np.searchsorted(-sizes, -np.arange(int(sizes.max(initial=0))), side="left")
-        came = np.empty(scores.shape, np.int16)
         best = np.zeros((n_docs, scores.shape[1]), np.float32)
-        own = np.arange(scores.shape[1], dtype=np.int16)
-        for t, n in enumerate(open_.tolist()):
-            at = start[:n] + t
-            state = best[:n]
-            top = state.argmax(axis=1)
-            switched = state[np.arange(n), top] - self.penalty
-            stay = state >= switched[:, None]
-            came[at] = np.where(stay, own, top[:, None])
-            best[:n] = np.maximum(state, switched[:, None]) + scores[at]
-        labels = np.empty(len(scores), np.int16)
-        now = best.argmax(axis=1)
-        for t in range(len(open_) - 1, -1, -1):
-            n = open_[t]
-            at = start[:n] + t
-            labels[at] = now[:n]
-            now[:n] = came[at, now[:n]]
+        stay, top = self.forward(words, scores, best)
+        return self.backward(words, stay, top, best.argmax(axis=1))
+
+    def forward(self, words: Words, scores: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Walks on from ``best``, (text, language), which is brought up to the last words.
+
+        Returns for every word which languages are best reached from themselves,
+        and from which language the others are.
+        """
+        stay, top = np.empty(scores.shape, bool), np.empty(len(scores), np.int16)
+        for at, rows in _steps(words, len(best)):
+            state = best[rows]
+            lead = state.argmax(axis=1)
+            switched = state[np.arange(len(rows)), lead] - self.penalty
+            stay[at] = state >= switched[:, None]
+            top[at] = lead
+            best[rows] = np.maximum(state, switched[:, None]) + scores[at]
+        return stay, top
+
+    def backward(self, words: Words, stay: np.ndarray, top: np.ndarray, now: np.ndarray) -> np.ndarray:
+        """Labels of the words; ``now``, the languages after them, becomes those before."""
+        labels = np.empty(len(top), np.int16)
+        for at, rows in reversed(list(_steps(words, len(now)))):
+            own = now[rows]
+            labels[at] = own
+            now[rows] = np.where(stay[at, own], own, top[at])
         return labels
 
 
+def _steps(words: Words, n_docs: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(words, texts): the first words of all texts, then the second ones, and so on."""
+    n_words = np.bincount(words.doc, minlength=n_docs)
+    start = np.cumsum(n_words) - n_words
+    by_size = np.argsort(-n_words, kind="stable")
+    sizes, start = n_words[by_size], start[by_size]
+    open_ = np.searchsorted(-sizes, -np.arange(int(sizes.max(initial=0))), side="left")
+    for t, n in enumerate(open_.tolist()):
+        yield start[:n] + t, by_size[:n]
+
+
 def fit_language_model(
     docs: DataFrame,
     *,
@@ -197,17 +213,21 @@ def fit_language_model(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in _blocks(batch.column(0)):
-                langs = batch.column(1).slice(start, len(texts)).to_pylist()
+            every = np.array(batch.column(1).to_pylist(), object)
+            for places, texts in _blocks(batch.column(0), BLOCK_CELLS // 4):
+                langs = every[places]
                 for lang in sorted(set(langs)):
-                    found = words_of([t for t, own in zip(texts, langs) if own == lang])
-                    counts = np.bincount(found.features.ravel(), minlength=BUCKETS)
-                    counts += np.bincount(found.whole, minlength=BUCKETS)
-                    scripts = np.bincount(found.script, found.length, minlength=len(SCRIPTS) + 2).astype(np.int64)
+                    counts, scripts = np.zeros(BUCKETS, np.int64), np.zeros(len(SCRIPTS) + 2, np.int64)
+                    for own in _portions([t for t, of in zip(texts, langs) if of == lang], BLOCK_CELLS // 4):
+                        found = words_of(own)
+                        counts += np.bincount(found.features.ravel(), minlength=BUCKETS)
+                        counts += np.bincount(found.whole, minlength=BUCKETS)
+                        scripts += np.bincount(found.script, found.length, len(SCRIPTS) + 2).astype(np.int64)
                     keys = np.concatenate([np.flatnonzero(counts), -1 - np.flatnonzero(scripts)])
                     values = np.concatenate([counts[counts > 0], scripts[scripts > 0]])
-                    names = pa.array([lang] * len(keys))
-                    yield pa.record_batch([names, pa.array(keys), pa.array(values)], ["lang", "key", "n"])
+                    # A language without letters in these texts gives no rows, but columns of the same types.
+                    columns = [pa.array([lang] * len(keys), pa.string()), pa.array(keys, pa.int64())]
+                    yield pa.record_batch([*columns, pa.array(values, pa.int64())], ["lang", "key", "n"])
 
     counted = drawn.mapInArrow(run, "lang string, key long, n long")
     table = counted.groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow()
@@ -225,37 +245,87 @@ def fit_language_model(
     return LanguageModel(languages, weights.astype(np.float32), scripts, penalty)
 
 
-def _verdicts(model: LanguageModel, texts: list[str | None], spans: bool):
-    """Per text (language, score, certainty of all its words together), or its spans."""
-    words = words_of(texts)
-    n_docs, n = len(texts), len(words.doc)
-    if not n or not model.languages:
-        return [[] for _ in texts] if spans else ([UNDETERMINED] * n_docs, np.zeros(n_docs), np.zeros(n_docs))
-    scores = model.word_scores(words)
-    labels = model.label(words, scores, n_docs)
-    if spans:
-        out: list[list[dict]] = [[] for _ in texts]
-        new = np.ones(n, bool)
-        new[1:] = (np.diff(labels) != 0) | (np.diff(words.doc) != 0)
-        begin = np.flatnonzero(new)
-        last = np.append(begin[1:], n) - 1
-        for d, a, b, label in zip(
-            words.doc[begin].tolist(),
-            words.start[begin].tolist(),
-            (words.start + words.length)[last].tolist(),
-            labels[begin].tolist(),
-        ):
-            out[d].append({"start": a, "end": b, "lang": model.languages[label]})
-        return out
-    size = len(model.languages)
-    cell = words.doc * size + labels
-    letters = np.bincount(cell, words.length, minlength=n_docs * size).reshape(n_docs, size)
+def _block_chars(model: LanguageModel) -> int:
+    return BLOCK_CELLS // max(4, len(model.languages))
+
+
+def _certainty(scores: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """How clearly each word speaks for its label."""
     chance = np.exp(scores - scores.max(axis=1, keepdims=True))
-    sure = chance[np.arange(n), labels] / chance.sum(axis=1)
-    trust = np.bincount(cell, words.length * sure, minlength=n_docs * size).reshape(n_docs, size)
+    return chance[np.arange(len(labels)), labels] / chance.sum(axis=1)
+
+
+def _tally(model: LanguageModel, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, language): letters labelled with each language, and the same weighed by certainty."""
+    size = len(model.languages)
+    letters, trust = np.zeros((2, len(texts) * size))
+    for words, labels, scores, _ in _labelled(model, texts):
+        cell = words.doc * size + labels
+        letters += np.bincount(cell, words.length, minlength=len(letters))
+        trust += np.bincount(cell, words.length * _certainty(scores, labels), minlength=len(trust))
+    return letters.reshape(-1, size), trust.reshape(-1, size)
+
+
+def _labelled(model: LanguageModel, texts: list[str | None]):
+    """(words, labels, scores, offset) of all texts of a block, or portion by portion of one long text.
+
+    A long text is walked forward portion by portion, keeping a bit per word and
+    language, then back; its words are scored once more with the labels known.
+    """
+    size = _block_chars(model)
+    if len(texts) > 1 or len(texts[0] or "") <= size:
+        words = words_of(texts)
+        if len(words.doc):
+            scores = model.word_scores(words)
+            yield words, model.label(words, scores, len(texts)), scores, 0
+        return
+    best, kept = np.zeros((1, len(model.languages)), np.float32), []
+    for portion in _portions(texts, size):
+        words = words_of(portion)
+        stay, top = model.forward(words, model.word_scores(words), best) if len(words.doc) else (None, None)
+        kept.append(None if stay is None else (np.packbits(stay, axis=1), top))
+    now, labels = best.argmax(axis=1), []
+    for place in range(len(kept) - 1, -1, -1):
+        if kept[place]:
+            bits, top = kept[place]
+            stay = np.unpackbits(bits, axis=1, count=len(model.languages)).astype(bool)
+            steps = Words(np.zeros(len(top), np.int64), *[None] * 6)
+            labels.append(model.backward(steps, stay, top, now))
+    offset = 0
+    for portion in _portions(texts, size):
+        words = words_of(portion)
+        if len(words.doc):
+            yield words, labels.pop(), model.word_scores(words), offset
+        offset += len(portion[0])
+
+
+def _portions(texts: list[str | None], size: int) -> Iterator[list[str | None]]:
+    """``texts`` as they are, but a single longer one in portions that end between words.
+
+    A run of more letters than ``size`` is cut, and counts as several words.
+    """
+    if len(texts) != 1 or len(texts[0] or "") <= size:
+        yield texts
+        return
+    text, table, start = texts[0], _script_table(), 0
+    while start < len(text):
+        stop = min(start + size, len(text))
+        end = stop
+        while end < len(text) and end > start and table[ord(text[end - 1])] and table[ord(text[end])]:
+            end -= 1
+        stop = end if end > start else stop
+        yield [text[start:stop]]
+        start = stop
+
+
+def _verdicts(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Per text language, score, and certainty of all its words together."""
+    if not model.languages:
+        return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    letters, trust = _tally(model, texts)
     top = letters.argmax(axis=1)
     total = letters.sum(axis=1)
-    score = trust[np.arange(n_docs), top] / np.maximum(total, 1)
+    score = trust[np.arange(len(texts)), top] / np.maximum(total, 1)
     certainty = trust.sum(axis=1) / np.maximum(total, 1)
     # Marks alone make words, but no letters.
     named = np.array([bool(n) and any(map(str.isalpha, t)) for n, t in zip(total.tolist(), texts)], bool)
@@ -263,26 +333,57 @@ def _verdicts(model: LanguageModel, texts: list[str | None], spans: bool):
     return names, *(np.where(named, np.clip(x, 0, 1), 0.0) for x in (score, certainty))
 
 
-def _blocks(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
-    """The texts of a batch in blocks of about BLOCK_CHARS characters."""
-    start, held, size = 0, [], 0
-    for row, value in enumerate(column):
-        held.append(value.as_py())
-        size += len(held[-1] or "")
-        if size >= BLOCK_CHARS or row == len(column) - 1:
-            yield start, held
-            start, held, size = row + 1, [], 0
+def _spans(model: LanguageModel, texts: list[str | None]) -> list[list[dict]]:
+    """Per text its stretches of one language."""
+    out: list[list[dict]] = [[] for _ in texts]
+    for words, labels, _, offset in _labelled(model, texts) if model.languages else ():
+        new = np.ones(len(labels), bool)
+        new[1:] = (np.diff(labels) != 0) | (np.diff(words.doc) != 0)
+        begin = np.flatnonzero(new)
+        last = np.append(begin[1:], len(labels)) - 1
+        for d, a, b, label in zip(
+            words.doc[begin].tolist(),
+            (words.start[begin] + offset).tolist(),
+            ((words.start + words.length)[last] + offset).tolist(),
+            labels[begin].tolist(),
+        ):
+            lang, own = model.languages[label], out[d]
+            if offset and own and own[-1]["lang"] == lang:
+                own[-1]["end"] = b
+            else:
+                own.append({"start": a, "end": b, "lang": lang})
+    return out
+
+
+def _blocks(column: pa.Array, size: int) -> Iterator[tuple[np.ndarray, list[str | None]]]:
+    """(places, texts): blocks of about ``size`` characters, texts of like length together, longer ones alone."""
+    lengths = pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    order = np.argsort(lengths, kind="stable")
+    begin, held = 0, 0
+    for end, length in enumerate(lengths[order].tolist()):
+        if held and held + length > size:
+            yield order[begin:end], [column[i].as_py() for i in order[begin:end].tolist()]
+            begin, held = end, 0
+        held += length
+    if len(order):
+        yield order[begin:], [column[i].as_py() for i in order[begin:].tolist()]
+    pa.default_memory_pool().release_unused()
+
+
+def _named(model: LanguageModel, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``_verdicts`` of all texts of a batch."""
+    names, score, certainty = np.empty(len(column), object), np.zeros(len(column)), np.zeros(len(column))
+    for places, texts in _blocks(column, _block_chars(model)):
+        names[places], score[places], certainty[places] = _verdicts(model, texts)
+    return names, score, certainty
 
 
 def _name_texts(model: LanguageModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in _blocks(batch.column(0)):
-                names, score, _ = _verdicts(model, texts, spans=False)
-                rest = [batch.column(i).slice(start, len(texts)) for i in range(1, batch.num_columns)]
-                yield pa.record_batch(
-                    [*rest, pa.array(names), pa.array(score)], [*batch.schema.names[1:], "lang_pred", "score"]
-                )
+            names, score, _ = _named(model, batch.column(0))
+            found = [pa.array(names, pa.string()), pa.array(score, pa.float64())]
+            yield pa.record_batch([*batch.columns[1:], *found], [*batch.schema.names[1:], "lang_pred", "score"])
 
     return run
 
@@ -312,10 +413,8 @@ def keep_identified(docs: DataFrame, model: LanguageModel, *, text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in _blocks(batch.column(at)):
-                names, _, certainty = _verdicts(model, texts, spans=False)
-                kept = (certainty >= min_score) & (np.array(names, object) != UNDETERMINED)
-                yield batch.slice(start, len(texts)).filter(pa.array(kept))
+            names, _, certainty = _named(model, batch.column(at))
+            yield batch.filter(pa.array((certainty >= min_score) & (names != UNDETERMINED), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -330,10 +429,11 @@ def language_spans(docs: DataFrame, model: LanguageModel, *, doc_id: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in _blocks(batch.column(0)):
-                found = _verdicts(model, texts, spans=True)
-                ids = batch.column(1).slice(start, len(texts))
-                yield pa.record_batch([ids, pa.array(found, arrow)], ["doc_id", "spans"])
+            found = np.empty(batch.num_rows, object)
+            for places, texts in _blocks(batch.column(0), _block_chars(model)):
+                for place, spans in zip(places.tolist(), _spans(model, texts)):
+                    found[place] = spans
+            yield pa.record_batch([batch.column(1), pa.array(found.tolist(), arrow)], ["doc_id", "spans"])
 
     source = docs.select(F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, spans {kind}")

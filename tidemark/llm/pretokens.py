@@ -13,7 +13,6 @@ import tiktoken
 _SPACE = r"\t-\r \x85\xa0  -     　"
 
 
-@functools.cache
 def _members(major: str) -> str:
     """All code points of one major category, in order, as the tokenizer libraries see them.
 
@@ -26,16 +25,30 @@ def _members(major: str) -> str:
     return bytes(found.encode_ordinary(every)).decode()
 
 
+_spans: dict[str, list[tuple[int, int]]] = {}
+
+
+def character_spans() -> dict[str, list[tuple[int, int]]]:
+    """Ranges of letters and numbers. Asked for once, on the driver; workers are told by ``use_spans``."""
+    for major in ("L", "N"):
+        if major not in _spans:
+            found: list[tuple[int, int]] = []
+            for c in map(ord, _members(major)):
+                if found and found[-1][1] == c - 1:
+                    found[-1] = (found[-1][0], c)
+                else:
+                    found.append((c, c))
+            _spans[major] = found
+    return dict(_spans)
+
+
+def use_spans(spans: dict[str, list[tuple[int, int]]]) -> None:
+    _spans.update(spans)
+
+
 def _ranges(major: str, top: int) -> str:
     """Character-class ranges of the code points up to ``top`` in one major category."""
-    spans: list[list[int]] = []
-    for c in map(ord, _members(major)):
-        if c > top:
-            break
-        if spans and spans[-1][1] == c - 1:
-            spans[-1][1] = c
-        else:
-            spans.append([c, c])
+    spans = [(a, min(b, top)) for a, b in character_spans()[major] if a <= top]
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans)
 
 

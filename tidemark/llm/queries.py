@@ -26,9 +26,15 @@ from tidemark.llm import (
 from tidemark.llm.common import remainder
 
 
+BATCH_BYTES = str(8 << 20)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     # Python workers import this package; in local mode they look where the driver does.
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    # Texts come to Python in batches of this size, or one longer text alone: a batch is
+    # held by the JVM and the worker, on its way in and out.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.pretokens import pattern_for
+from tidemark.llm.pretokens import character_spans, pattern_for, use_spans
 
 
 def count_merges(piece: bytes, ranks: dict[tuple[bytes, bytes], int]) -> int:
@@ -121,7 +121,10 @@ def token_counts(
     columns are ignored. The plan is narrow.
     """
 
+    spans = character_spans()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_spans(spans)
         counter = _counter(tokenizer)
         count = counter.count
         for batch in batches:
