@@ -19,6 +19,8 @@ def make_session():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            # Plans name whole paths, however long the folder's name is.
+            "spark.sql.maxMetadataStringLength": "4000",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
