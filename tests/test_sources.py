@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -55,19 +56,42 @@ def test_load_csv_fails_as_a_whole(spark, root, line):
         csv_files.load_csv(spark, f"{root}/s.csv", get_schema("sellers")).collect()
 
 
-def test_file_without_quoted_line_breaks_is_split(spark, root):
-    put(f"{root}/s.csv", "a,b,c,d\n" + "".join(f's{i},{i},"x ""{i}"", ","y"\n' for i in range(2000)))
-    assert not csv_files.has_quoted_line_breaks(spark, f"{root}/s.csv")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", 10_000)
-    try:
-        split = csv_files.load_csv(spark, f"{root}/s.csv", get_schema("sellers"))
-        whole = csv_files.load_csv(spark, f"{root}/s.csv", get_schema("sellers"), multiline=True)
-        assert split.rdd.getNumPartitions() > 1 == whole.rdd.getNumPartitions()
-        assert sorted(split.collect()) == sorted(whole.collect())
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    put(f"{root}/m.csv", 'a,b,c,d\ns1,1,"x\ny",z\n')
-    assert csv_files.has_quoted_line_breaks(spark, f"{root}/m.csv")
+def test_one_file_of_quoted_text_is_read_by_many_tasks(spark, root):
+    rng = random.Random(3)
+    pieces = ["a", "\n", '""', ",", "b ", "é", "\r\n", "\n\n"]
+    for name, end, head in (("a", "\n", "\ufeffid,zip,city,state"), ("b", "\r\n", 'id,"z\nip",city,state')):
+        lines = [head]
+        for i in range(600):
+            city, state = ("".join(rng.choices(pieces, k=rng.randint(0, 30))) for _ in range(2))
+            lines.append(f'{name}{i},{i},"{city}","{state}"')
+        put(f"{root}/s/{name}.csv", end.join(lines) + end)
+    whole = csv_files.load_csv(spark, f"{root}/s", get_schema("sellers"), multiline=True)
+    expected = sorted(whole.collect())
+    assert len(expected) == 1200 and whole.rdd.getNumPartitions() <= 2
+    # Splits end inside quotes, between \r and \n, and many lie in one value or are empty.
+    for size in ("128m", "5000", "611", "64"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            split = csv_files.load_csv(spark, f"{root}/s", get_schema("sellers"))
+            assert sorted(split.collect()) == expected
+            if size == "5000":
+                assert csv_files._split_lines(spark, f"{root}/s/a.csv").rdd.getNumPartitions() > 4
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("text", ["", "a,b,c,d", "a,b,c,d\n", "a,b,c,d\n\n", 'a,b,c,"\nd"\n\r\n'])
+def test_files_without_records(spark, root, text):
+    put(f"{root}/s.csv", text)
+    assert csv_files.load_csv(spark, f"{root}/s.csv", get_schema("sellers")).collect() == []
+
+
+def test_open_quotes_fail(spark, root):
+    put(f"{root}/s.csv", 'a,b,c,d\ns1,1,x,y\ns2,2,"x,y\ns3,3,x,y\n')
+    with pytest.raises(Exception, match="not closed"):
+        csv_files.load_csv(spark, f"{root}/s.csv", get_schema("sellers")).collect()
 
 
 @pytest.mark.parametrize("row", ['"o\n1",1,card,1,2.5', "o1,1,card,1", "o1,1,card,1,2.5,more"])

@@ -258,3 +258,38 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     return pairs.where(~F.col("before").eqNullSafe(F.col("after"))).select(
         *keys, operation.alias("op"), "before", "after"
     )
+
+
+def multiset_diff(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Changes between two states of a table without key: op (c or d), before, after.
+
+    Rows count as often as they occur: each state signs its rows, equal rows are
+    summed, and what is left over is inserted or deleted that many times. Copies
+    are summed before the shuffle, so a row repeated very often costs no more
+    than any other. Nulls are equal to each other. Tables without key know no
+    updates: a changed row is one delete and one insert.
+    """
+    columns = old.columns
+    signed = old.select(*columns, F.lit(-1).cast("bigint").alias("_sign")).unionByName(
+        new.select(*columns, F.lit(1).cast("bigint").alias("_sign"))
+    )
+    left = signed.groupBy(*columns).agg(F.sum("_sign").alias("_left")).where("_left <> 0")
+    image, created = F.struct(*columns), F.col("_left") > 0
+    return left.select(
+        F.when(created, "c").otherwise("d").alias("op"),
+        F.when(~created, image).alias("before"),
+        F.when(created, image).alias("after"),
+        F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("_left"))).alias("_copy"),
+    ).drop("_copy")
+
+
+def apply_multiset(old: DataFrame, changes: DataFrame) -> DataFrame:
+    """The rows of a table without key after the changes that ``multiset_diff`` found."""
+    columns = old.columns
+    signed = old.select(*columns, F.lit(1).cast("bigint").alias("_sign"))
+    for image, sign in (("before", -1), ("after", 1)):
+        rows = changes.where(F.col(image).isNotNull())
+        signed = signed.unionByName(rows.select(f"{image}.*", F.lit(sign).cast("bigint").alias("_sign")))
+    left = signed.groupBy(*columns).agg(F.sum("_sign").alias("_left")).where("_left > 0")
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), "_left")).alias("_copy")
+    return left.select(*columns, copies).drop("_copy")

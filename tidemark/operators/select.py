@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.schemas import CLOSED_STATUSES
@@ -29,13 +29,14 @@ def sample_rows(df: DataFrame, percent: float, seed: int, key: str | None = None
     """About ``percent`` of the rows, each drawn on its own; may be empty.
 
     With ``key`` a hash of it decides, so the choice is the same on every run,
-    however the files are split.
+    however the files are split. Rows without key are drawn together, as those of
+    any other key are.
     """
     if key is None:
         return df.sample(fraction=percent / 100, seed=seed)
     if percent >= 100:
-        return df.where(F.col(key).isNotNull())
-    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+        return df
+    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
     return df.where(F.substring(drawn, 1, 8) < f"{int(percent / 100 * 2**32):08x}")
 
 
@@ -68,3 +69,56 @@ def price_or_default(items: DataFrame, products: DataFrame, default: float) -> D
     return products.select("product_id").join(latest, "product_id", "left").select(
         "product_id", F.coalesce(F.col("last.price"), F.lit(default)).alias("price")
     )
+
+
+def price_as_of(
+    requests: DataFrame,
+    items: DataFrame,
+    default: float,
+    at: str = "at",
+    segment_seconds: int = 86_400,
+) -> DataFrame:
+    """``requests`` with ``price``: that of the product's latest item before ``at``, or a default price.
+
+    ``requests`` has product_id and a time ``at``. Only items of an earlier
+    shipping limit count, never one of the same time; items of equal time are
+    ordered by order, item number and price. Requests without product or time get
+    the default, items without time or price are passed over.
+
+    Time is cut into segments. Within one, requests and items of a product stand
+    in one window; over its start only the last price of all earlier segments is
+    carried, which enters as one more row. So a product with a third of all
+    rows is as many groups as it has segments, and nothing is joined.
+    """
+    order = ("shipping_limit_date", "order_id", "order_item_id", "price")
+    sold = items.where(F.col("shipping_limit_date").isNotNull() & F.col("price").isNotNull())
+
+    def segment(time: str) -> Column:
+        days = F.unix_date(F.col(time).cast("date")).cast("bigint")
+        seconds = F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+        return F.floor((days * 86_400 + seconds) / segment_seconds)
+
+    asked = requests.select(
+        "product_id", segment(at).alias("_segment"), F.col(at).alias("_at"), F.struct(*requests.columns).alias("_request")
+    )
+    offered = sold.select(
+        "product_id",
+        segment("shipping_limit_date").alias("_segment"),
+        F.col("shipping_limit_date").alias("_at"),
+        F.struct(*order).alias("_item"),
+    )
+    last = offered.groupBy("product_id", "_segment").agg(F.max("_item").alias("_item"))
+    places = last.unionByName(asked.select("product_id", "_segment").distinct(), allowMissingColumns=True)
+    places = places.groupBy("product_id", "_segment").agg(F.max("_item").alias("_item"))
+    earlier = Window.partitionBy("product_id").orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    carried = places.select("product_id", "_segment", F.last("_item", ignorenulls=True).over(earlier).alias("_item"))
+
+    rows = carried.where(F.col("_item").isNotNull()).withColumn("_kind", F.lit(0))
+    rows = rows.unionByName(offered.withColumn("_kind", F.lit(2)), allowMissingColumns=True)
+    rows = rows.unionByName(asked.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
+    # What is carried has no time and comes first; requests come before items of their time.
+    so_far = Window.partitionBy("product_id", "_segment").orderBy(F.col("_at").asc_nulls_first(), "_kind", "_item")
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = F.when(F.col("product_id").isNotNull() & F.col("_at").isNotNull(), F.last("_item.price", ignorenulls=True).over(so_far))
+    found = rows.select("_request", known.alias("_price")).where(F.col("_request").isNotNull())
+    return found.select("_request.*", F.coalesce("_price", F.lit(default)).alias("price"))

@@ -301,6 +301,17 @@ def snapshot_diff(b):
     )
 
 
+@query("o13_keyless_diff")
+def keyless_diff(b):
+    """Item lines between two states that each lack some orders; most rows are repeated on both sides."""
+    lines = b.order_items().select("order_id", "seller_id", "order_item_id", F.col("price") > 20_000)
+    lines = lines.toDF("order_id", "seller_id", "order_item_id", "dear")
+    short = F.col("order_id").cast("bigint")
+    columns = ["seller_id", "order_item_id", "dear"]
+    found = cdc.multiset_diff(lines.where(short % 7 != 0).select(*columns), lines.where(short % 5 != 0).select(*columns))
+    return found.select("op", *(F.coalesce(f"before.{c}", f"after.{c}").alias(c) for c in columns))
+
+
 @query("o14_missing_changes")
 def missing_changes(b):
     root, schema = scratch_dir(b.spark, "missing"), schemas.get_schema("sellers")
@@ -560,6 +571,14 @@ def price_or_default(b):
     return select.price_or_default(b.order_items(), b.products(), 100.0)
 
 
+@query("o36_price_as_of")
+def price_as_of(b):
+    """Every item with the price of an earlier item of its product."""
+    items = b.order_items()
+    requests = items.select("order_id", "order_item_id", "product_id", F.col("shipping_limit_date").alias("at"))
+    return select.price_as_of(requests, items, 100.0)
+
+
 @query("o36_place_or_default")
 def place_or_default(b):
     """Zip codes moved on by ten, so that the highest are in no list of places."""

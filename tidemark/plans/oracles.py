@@ -308,6 +308,14 @@ _ORACLES = {
         FROM ({ACCOUNTS_AFTER.format("lsn <= (SELECT middle FROM bound)")}) o
         FULL JOIN ({ACCOUNTS_AFTER.format("true")}) n ON o.key = n.key
         WHERE o.key IS NULL OR n.key IS NULL OR o.status IS DISTINCT FROM n.status OR o.value IS DISTINCT FROM n.value""",
+    "o13_keyless_diff": """
+        WITH lines AS (
+            SELECT CAST(order_id AS BIGINT) AS id, seller_id, order_item_id, price > 20000 AS dear FROM order_items),
+        old AS (SELECT * EXCLUDE (id) FROM lines WHERE id % 7 <> 0),
+        new AS (SELECT * EXCLUDE (id) FROM lines WHERE id % 5 <> 0)
+        SELECT 'c' AS op, * FROM (SELECT * FROM new EXCEPT ALL SELECT * FROM old)
+        UNION ALL
+        SELECT 'd' AS op, * FROM (SELECT * FROM old EXCEPT ALL SELECT * FROM new)""",
     "o14_missing_changes": "SELECT * FROM sellers",
     "o15_cdc_tables": """
         SELECT name, rows FROM tables_v
@@ -388,6 +396,12 @@ _ORACLES = {
             QUALIFY row_number() OVER (PARTITION BY product_id
                 ORDER BY shipping_limit_date DESC, order_id DESC, order_item_id DESC, price DESC) = 1) i
           ON p.product_id = i.product_id""",
+    "o36_price_as_of": """
+        WITH i AS (SELECT row_number() OVER () AS r, * FROM order_items)
+        SELECT a.order_id, a.order_item_id, a.product_id, a.shipping_limit_date AS at, coalesce(b.price, 100.0) AS price
+        FROM i a LEFT JOIN i b ON a.product_id = b.product_id AND b.shipping_limit_date < a.shipping_limit_date
+        QUALIFY row_number() OVER (PARTITION BY a.r
+            ORDER BY b.shipping_limit_date DESC NULLS LAST, b.order_id DESC, b.order_item_id DESC, b.price DESC) = 1""",
     "o36_place_or_default": """
         SELECT customer_id, customer_zip_code_prefix,
                coalesce(geolocation_zip_code_prefix, 10000) AS place_zip,
