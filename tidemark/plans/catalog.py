@@ -22,7 +22,7 @@ from tidemark.plans import layers
 from tidemark.plans.bindings import Bindings
 from tidemark.session import scratch_dir
 from tidemark.sources import change_log, csv_files, epochs, tables
-from tidemark.streaming import log, state
+from tidemark.streaming import buckets, log, state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -514,6 +514,20 @@ def merge_batch(b):
     return cdc.live(b.spark.read.parquet(f"{root}/2")).select("key", "lsn", "op", "status", "event_time", "value")
 
 
+@query("o27_merge_buckets")
+def merge_buckets(b):
+    """The batches of o27_merge_batch into a bucketed table, and a few more."""
+    root, rows = scratch_dir(b.spark, "buckets"), b.changes().drop("dt")
+    database = f"buckets_{root.rsplit('-', 1)[1]}"
+    b.spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
+    buckets.open_state(b.spark, f"{database}.state", f"{root}/state", rows.schema, ["key"], slots=16)
+    for part in (F.col("lsn") <= middle(b), F.col("lsn") * 2 > middle(b), F.col("key") < 20, F.col("lsn") < 0):
+        buckets.merge_into_buckets(rows.where(part), f"{database}.state")
+    buckets.drop_outdated(b.spark, f"{database}.state")
+    found = buckets.read_buckets(b.spark, f"{database}.state")
+    return found.select("key", "lsn", "op", "status", "event_time", "value")
+
+
 @query("o28_apply_transition")
 def apply_transition(b):
     events = b.changes().select(

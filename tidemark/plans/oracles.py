@@ -376,6 +376,7 @@ _ORACLES = {
         SELECT p.* REPLACE (coalesce(product_category_name_english, p.product_category_name) AS product_category_name)
         FROM products p LEFT JOIN product_category_name_translation t ON p.product_category_name = t.product_category_name""",
     "o27_merge_batch": f"SELECT * FROM ({LATEST}) WHERE op <> 'd'",
+    "o27_merge_buckets": f"SELECT * FROM ({LATEST}) WHERE op <> 'd'",
     "o28_apply_transition": TRANSITIONS,
     "o29_select_all": "SELECT * FROM customers",
     "o30_select_columns": "SELECT geolocation_zip_code_prefix, geolocation_city, geolocation_state FROM geolocation",

@@ -22,6 +22,12 @@ def finished_folders(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(status.getPath().getParent().getName()) for status in found)
 
 
+def folder_numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the sub-folders that are named by one, ascending."""
+    names, fs = _path(spark, f"{path}/*")
+    return sorted(int(n) for status in fs.globStatus(names) or [] if (n := status.getPath().getName()).isdigit())
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     jvm_path, fs = _path(spark, path)
     fs.delete(jvm_path, True)
