@@ -144,7 +144,7 @@ def test_keyless_stream_keeps_true_duplicates(spark, tmp_path):
     for _ in range(2):
         deliver(spark, root, [change("a", 1, "c", "same"), change("a", 2, "c", "same"), change("a", 2, "c", "same")])
         state.append_stream(stream(spark, root, 1), f"{root}/rows", ["lsn", "order_id"], f"{root}/checkpoint", None).awaitTermination()
-    rows = state.read_appended(spark, f"{root}/rows", ["lsn", "order_id"]).select("order_id", "order_status").collect()
+    rows = state.read_appended(spark, f"{root}/rows").select("order_id", "order_status").collect()
     assert [tuple(r) for r in rows] == [("a", "same")] * 2
 
 
@@ -168,3 +168,31 @@ def test_log_sink_rolls_files_and_repeats_nothing(spark, tmp_path):
 def test_delivery_day(spark):
     day = log.with_delivery_day(spark.range(1)).first().dt
     assert abs((day - dt.datetime.now(dt.timezone.utc).date()).days) <= 1
+
+
+def test_inserts_are_stored_once_however_late_copies_come(spark, tmp_path):
+    path, kind = f"{tmp_path}/rows", "op string, lsn long, v string"
+    rng = random.Random(6)
+    # Positions may be shared by rows of one insert, also across batches, or be missing.
+    rows = [("c", rng.randint(0, 600_000), rng.choice("abc")) for _ in range(60)] + [("c", 7, "x"), ("c", None, "y")]
+    batches = [rows[i::12] + rng.sample(rows[:: i + 1], min(len(rows[:: i + 1]), 4)) for i in range(12)]
+    batches += [batches[0], rows, [("u", 1, "no insert")], []]
+    stored = set()
+    for number, batch in enumerate(batches):
+        frame = spark.createDataFrame(batch, kind)
+        for _ in range(1 + number % 2):  # every second batch is repeated
+            state.append_batch(frame, number, path, None, compact_every=4)
+        stored |= {r for r in batch if r[0] == "c"}
+        assert sorted(map(tuple, state.read_appended(spark, path).collect()), key=str) == sorted(stored, key=str)
+    plan = state.read_appended(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Exchange" not in plan
+    spans = [tuple(r)[1:] for r in spark.read.parquet(f"{path}/seen/base/000000015").collect()]
+    assert all(any(a <= r[1] <= b for a, b in spans) for r in stored if r[1] is not None) and len(spans) < 62
+
+
+def test_positions_that_meet_are_one_span(spark):
+    lsn = [*range(100, 5_000), *range(6_000, 6_010), state.SEEN_SEGMENT - 1, state.SEEN_SEGMENT, 5_000]
+    rows = spark.createDataFrame([(x,) for x in lsn] + [(None,)], "lsn long")
+    found = sorted(map(tuple, state._islands(state._positions(rows)).collect()))
+    last = state.SEEN_SEGMENT - 1
+    assert found == [(0, 100, 5_000), (0, 6_000, 6_009), (0, last, last), (1, last + 1, last + 1)]

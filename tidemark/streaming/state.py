@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -188,6 +188,87 @@ def read_state(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame
     return live(stored_state(spark, path, keys))
 
 
+#: Log positions in one segment: no more share a window or a join key.
+SEEN_SEGMENT = 1 << 18
+
+
+def _islands(spans: DataFrame) -> DataFrame:
+    """(segment, first, last): spans of log positions merged where they overlap or meet, per segment."""
+    order = Window.partitionBy("segment").orderBy("first", "last")
+    reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.coalesce(F.col("first") > reached + 1, F.lit(True)).cast("int")
+    island = F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    marked = spans.withColumn("begins", starts).withColumn("island", island)
+    return marked.groupBy("segment", "island").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("island")
+
+
+def _positions(rows: DataFrame) -> DataFrame:
+    """Log positions of rows as spans of one."""
+    segment = F.floor(F.col("lsn") / SEEN_SEGMENT).alias("segment")
+    lsn = rows.where(F.col("lsn").isNotNull()).select("lsn").distinct()
+    return lsn.select(segment, F.col("lsn").alias("first"), F.col("lsn").alias("last"))
+
+
+def _seen(spark: SparkSession, path: str, number: int) -> tuple[int | None, list[str]]:
+    """Newest base of positions seen before micro-batch ``number``, and the folders that hold them all."""
+    bases = [n for n in finished_folders(spark, f"{path}/seen/base") if n < number]
+    base = bases[-1] if bases else None
+    deltas = [n for n in finished_folders(spark, f"{path}/seen/delta") if n < number and (base is None or n > base)]
+    folders = ([] if base is None else [f"base/{base:09d}"]) + [f"delta/{n:09d}" for n in deltas]
+    return base, [f"{path}/seen/{f}" for f in folders]
+
+
+def _not_stored(inserts: DataFrame, path: str, number: int, identity: Sequence[str]) -> DataFrame:
+    """Those of ``inserts`` that no micro-batch before ``number`` has stored.
+
+    Rows at positions that were never seen are new; only the others, redeliveries
+    for the most part, are compared with stored rows, of which those between the
+    lowest and the highest such position are read.
+    """
+    spark = inserts.sparkSession
+    stored = [n for n in finished_folders(spark, f"{path}/rows") if n < number]
+    if not stored:
+        return inserts
+    rows = spark.read.parquet(*(f"{path}/rows/{n:09d}" for n in stored))
+    _, folders = _seen(spark, path, number)
+    if not folders:
+        # Rows that were stored before positions were kept.
+        folders = [f"{path}/seen/base/{stored[-1]:09d}"]
+        _islands(_positions(rows)).write.mode("overwrite").parquet(*folders)
+    spans = spark.read.parquet(*folders).select(F.col("segment").alias("_segment"), F.col("first").alias("_first"), F.col("last").alias("_last"))
+    placed = inserts.withColumn("_segment", F.floor(F.col("lsn") / SEEN_SEGMENT))
+    met = (placed["_segment"] == spans["_segment"]) & placed["lsn"].between(spans["_first"], spans["_last"])
+    new = placed.where(F.col("lsn").isNotNull()).join(spans, met, "left_anti").drop("_segment")
+    again = placed.join(spans, met, "left_semi").drop("_segment")
+    again = again.unionByName(inserts.where(F.col("lsn").isNull()))
+    low, high = again.agg(F.min("lsn"), F.max("lsn")).first()
+    near = rows.where(F.col("lsn").isNull() if low is None else F.col("lsn").between(low, high) | F.col("lsn").isNull())
+    near = near.select(*(F.col(c).alias(f"_stored_{c}") for c in identity))
+    same = [F.col(c).eqNullSafe(F.col(f"_stored_{c}")) for c in identity]
+    return new.unionByName(again.join(near, same, "left_anti"))
+
+
+def append_batch(batch: DataFrame, number: int, path: str, identity: Sequence[str] | None, compact_every: int = 20) -> None:
+    """Store the inserts of one micro-batch that are not stored yet; repeating a batch changes nothing."""
+    spark = batch.sparkSession
+    identity = list(identity or batch.columns)
+    part = f"{path}/arrived/{number:09d}"
+    batch.where(F.col("op").isin("c", "r")).dropDuplicates(identity).write.mode("overwrite").parquet(part)
+    inserts = spark.read.schema(batch.schema).parquet(part)
+    _not_stored(inserts, path, number, identity).write.mode("overwrite").parquet(f"{path}/rows/{number:09d}")
+    _islands(_positions(inserts)).write.mode("overwrite").parquet(f"{path}/seen/delta/{number:09d}")
+    delete_folder(spark, part)
+    if (number + 1) % compact_every == 0:
+        before, _ = _seen(spark, path, number)
+        _, folders = _seen(spark, path, number + 1)
+        _islands(spark.read.parquet(*folders)).write.mode("overwrite").parquet(f"{path}/seen/base/{number:09d}")
+        # What the base before this one was made of; that base stays for a repeat of this batch.
+        for kind, outdated in (("base", lambda n: n < before), ("delta", lambda n: n <= before)):
+            for n in finished_folders(spark, f"{path}/seen/{kind}") if before is not None else ():
+                if outdated(n):
+                    delete_folder(spark, f"{path}/seen/{kind}/{n:09d}")
+
+
 def append_stream(
     stream: DataFrame,
     path: str,
@@ -201,27 +282,24 @@ def append_stream(
     Copies are rows equal in ``identity``, by default in every column, position
     included: rows of one insert share a position, so it does not do alone.
 
-    Redeliveries inside a micro-batch go at once, those across batches when
-    reading, by the log position kept with every row: exact however late they
-    come. Rows of another checkpoint are kept and added to only with
-    ``take_over``.
+    Every insert is stored once, however late a copy comes. Positions that were
+    seen are kept as merged spans next to the rows; a batch looks its positions
+    up there, so only rows at known positions are compared with stored ones.
+    Rows of another checkpoint are kept and added to only with ``take_over``.
     """
     first: list[int] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not first:
             first.append(_numbers_from(batch.sparkSession, path, checkpoint, take_over))
-        inserts = batch.where(F.col("op").isin("c", "r"))
-        part = f"{path}/rows/{first[0] + batch_id:09d}"
-        inserts.dropDuplicates(identity and list(identity)).write.mode("overwrite").parquet(part)
+        append_batch(batch, first[0] + batch_id, path, identity)
 
     return start(stream.writeStream.foreachBatch(write), checkpoint, interval)
 
 
-def read_appended(spark: SparkSession, path: str, identity: Sequence[str] | None = None) -> DataFrame:
-    """Rows of all finished micro-batches, copies removed."""
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of all finished micro-batches; each insert is stored once."""
     parts = finished_folders(spark, f"{path}/rows")
     if not parts:
         raise ValueError(f"no rows below {path}")
-    rows = spark.read.parquet(*(f"{path}/rows/{n:09d}" for n in parts))
-    return rows.dropDuplicates(identity and list(identity))
+    return spark.read.parquet(*(f"{path}/rows/{n:09d}" for n in parts))
