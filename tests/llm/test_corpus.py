@@ -5,6 +5,7 @@ import hashlib
 import html.parser
 import json
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -284,12 +285,36 @@ def test_derivatives_are_linked_and_written(spark, tmp_path):
         fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
         size = int(fields["Content-Length"])
         read.append((fields["WARC-Record-ID"], rest[:size].decode()))
+        assert fields["WARC-Source-Payload-Digest"] in {r.source_payload_digest for r in found.values()}
         assert head.startswith(b"WARC/1.1") and rest[size : size + 4] == b"\r\n\r\n"
         raw = rest[size + 4 :]
     assert sorted(read) == sorted((r.record_id, r.block) for r in found.values())
     assert warc.derivatives(warc.responses(pages.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize(
+    "piece", ["<a ", "<a href=", "<html ", "<title ", "<script ", '<a "', "<a '>", "<!--", "<a href = ", " lang=", "<p>x</p>"]
+)
+def test_long_pages_take_linear_time(piece):
+    def seconds(n):
+        page = piece * n
+        began = time.perf_counter()
+        warc.page_facts(page)
+        warc.plain_text(page)
+        return time.perf_counter() - began
+
+    seconds(1_000)
+    # Quadratic work would take 64 times as long.
+    assert min(seconds(160_000) for _ in range(2)) < 24 * max(min(seconds(20_000) for _ in range(3)), 0.002)
+
+
+def test_attributes_are_read_tag_by_tag():
+    page = '<HTML data-lang="x" lang = "pt-BR"><a title="x > href=no" HREF="/1">a</a><a name=b>b</a><A href=\'/2\' href=/3>c</a>'
+    page += '<article href=/no></article><a/href=/4>d</a><a href>e</a><a data-href="/no" href="">f</a></a href="/no"><a href="/5'
+    assert warc.page_facts(page)["lang"] == "pt-BR"
+    assert warc.page_facts(page)["links"][:4] == ["/1", "/2", "/4", ""]
+
+
 # Tokenizers
 
 
@@ -410,6 +435,32 @@ def test_snapshots_collapse(spark):
     assert chat_format.render_conversations(frame.limit(0)).count() == 0
 
 
+def chat_sql(rows):
+    import duckdb
+
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    connection.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    return sorted(connection.execute(chat_format.CHAT_SQL).fetchall())
+
+
+@pytest.mark.parametrize("shift", [9, 0, 1])
+def test_chats_equal_their_sql(spark, monkeypatch, shift):
+    monkeypatch.setattr(chat_format, "SHIFT", shift)
+    # Three first turns of one number, and conversations that hold one of them each.
+    rows = [(1, 0, "user", x) for x in "cab"] + [(i, 0, "user", x) for i, x in ((2, "a"), (3, "b"), (4, "c"))]
+    rng = random.Random(shift)
+    for conv in range(10, 60):
+        n = rng.randint(1, 5)
+        rows += [(conv, rng.choice([None, 0, 1, 1, 2]), rng.choice(["user", "assistant", None]), rng.choice(["x", "y", None])) for _ in range(n)]
+    long = [(0, t, "user", f"t{t}") for t in range(1_500)]
+    rows += rows[:10] + long + [(5, *turn[1:]) for turn in long[:1_100]] + [(6, *turn[1:]) for turn in long[:1_100]] + [(6, 9_999, "user", "z")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = sorted(map(tuple, chat_format.render_conversations(frame).collect()))
+    assert found == chat_sql(rows)
+    assert {0, 6} <= {r[0] for r in found} and 5 not in {r[0] for r in found}
+
+
 # Language
 
 

@@ -23,9 +23,11 @@ def component_roots(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Written first: a join with a stored table can be split where a node has very many neighbours.
+        least = staged(least, "least-neighbours")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = staged(large.where("u <> v").distinct(), "larger-neighbours")
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least-neighbours")
         small = large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         edges = staged(small.where("u <> v").distinct(), "edges")
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()

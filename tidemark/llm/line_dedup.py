@@ -82,13 +82,15 @@ def drop_shared_lines(
         .groupBy("h", "g")
         .agg(F.count("*").alias("sites"))
         .where(F.col("sites") >= min_sites)
-        .select("h", "g", F.lit(True).alias("counted"))
+        .select("h", "g")
     )
     first = F.col("first.doc").eqNullSafe(F.col("doc")) & (F.col("first.pos") == F.col("pos"))
+    later = rows.where(~first)
+    # Very common lines are sure: their rows go on without a join. The others meet a written table.
+    sure = later.where("sure").select("doc", "text_hash", "pos")
+    close = later.where(~F.col("sure")).join(staged(counted, "counted-lines"), ["h", "g"], "left_semi")
     gone = (
-        rows.where(~first)
-        .join(counted, ["h", "g"], "left")
-        .where(F.col("sure") | F.col("counted"))
+        sure.unionByName(close.select("doc", "text_hash", "pos"))
         .groupBy("doc", "text_hash")
         .agg(F.sort_array(F.collect_set("pos")).alias("gone"))
     )

@@ -251,7 +251,9 @@ def near_duplicate_components(
     rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = staged(rooted, "rooted-fingerprints")
+    # Written first: the join with it can be split where a component is very large.
+    ids = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
     named = rooted.join(ids, "root").select("fp", "component_id", "root")
     return fps.join(named, "fp").select("doc_id", "fp", "text_hash", "component_id", "root")
 

@@ -17,16 +17,18 @@ from pyspark.sql import functions as F
 #: What ends a tag name; ``\b`` would also end it within a custom element such as <title-bar>.
 _NAME_END = r"(?=[\s/>])"
 _HIDDEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title){_NAME_END}[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I
+    rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title){_NAME_END}[^>]*+(?:>|\Z).*?(?:</\1\s*>|\Z)",
+    re.S | re.I,
 )
 _BLOCK = (
     "address article aside blockquote body br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " head header hr html li main nav ol option p pre section table tbody td tfoot th thead tr ul"
 )
 _TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)(?:[^\"'>]|\"[^\"]*\"|'[^']*')*+>|</?[a-zA-Z!?][^>]*+>?")
-_LINK = re.compile(r"<a\s(?:[^>]*?\s)?href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_TITLE = re.compile(rf"<title{_NAME_END}[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
-_LANG = re.compile(rf"<html{_NAME_END}[^>]*?\slang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
+_OPENED = re.compile(r"<([a-zA-Z][^\s/>]*)")
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_TITLE = re.compile(rf"<title{_NAME_END}[^>]*+(?:>|\Z)(.*?)(?:</title\s*>|\Z)", re.S | re.I)
+_LANGUAGE = re.compile(r"[A-Za-z-]+")
 _BLOCKS = frozenset(_BLOCK.split())
 
 
@@ -45,16 +47,35 @@ def plain_text(page: str | None) -> str:
     return "\n".join(line for line in lines if line)
 
 
+def _attribute(tag: str, start: int, name: str) -> str | None:
+    """The first value that an attribute of a tag is given; values in quotes are passed over as a whole."""
+    for m in _ATTRIBUTE.finditer(tag, start):
+        value = next((v for v in m.groups()[1:] if v is not None), None)
+        if value is not None and m[1].lower() == name:
+            return value
+    return None
+
+
 def page_facts(page: str | None) -> dict:
-    """Title, language and links of a page."""
+    """Title, language and links of a page.
+
+    One walk over its tags; attributes are looked for inside each, so the time
+    grows with the page, whatever its tags leave open.
+    """
     page = page or ""
     shown = _HIDDEN.sub(lambda m: m[0] if (m[1] or "").lower() == "title" else "", page)
-    title, lang = _TITLE.search(shown), _LANG.search(shown)
-    return {
-        "title": " ".join(html.unescape(title[1]).split()) if title else None,
-        "lang": lang[1] if lang else None,
-        "links": [html.unescape(a or b or c) for a, b, c in _LINK.findall(shown)],
-    }
+    title, lang, links = _TITLE.search(shown), None, []
+    for m in _TAG.finditer(shown):
+        opened = _OPENED.match(m[0])
+        name = opened[1].lower() if opened else ""
+        if name == "a":
+            link = _attribute(m[0], opened.end(), "href")
+            if link is not None:
+                links.append(html.unescape(link))
+        elif name == "html" and lang is None:
+            found = _LANGUAGE.match(_attribute(m[0], opened.end(), "lang") or "")
+            lang = found[0] if found else None
+    return {"title": " ".join(html.unescape(title[1]).split()) if title else None, "lang": lang, "links": links}
 
 
 def digest(block: bytes) -> str:
@@ -187,6 +208,8 @@ def write_warc(records: DataFrame, path: str) -> None:
         "WARC-Target-URI": "target_uri",
         "WARC-Date": "date",
         "WARC-Block-Digest": "block_digest",
+        # A field of our own: WARC-Payload-Digest would speak of the record's own payload.
+        "WARC-Source-Payload-Digest": "source_payload_digest",
         "Content-Type": "content_type",
         "Content-Length": "content_length",
     }
