@@ -126,6 +126,10 @@ class Bindings:
             "1 + length(text) % 5 AS review_score",
             "CAST(NULL AS STRING) AS review_comment_title",
             "text AS review_comment_message",
+            # Spread over the years of the orders; first turns are answered too early, some never.
+            "TIMESTAMP_NTZ '1995-01-01 00:00:00' + make_dt_interval(CAST(conv_id * 53 % 2400 AS INT)) AS review_creation_date",
+            """IF(turn % 4 = 3, NULL, TIMESTAMP_NTZ '1995-01-01 00:00:00' + make_dt_interval(
+                CAST(conv_id * 53 % 2400 AS INT), CAST(turn * 7 - 3 AS INT))) AS review_answer_timestamp""",
         )
 
     def changes(self) -> DataFrame:

@@ -125,7 +125,7 @@ def run_to_parquet(stream: DataFrame, root: str) -> None:
     writer = stream.writeStream.format("parquet").option("path", f"{root}/out")
     finished = log.start(writer, f"{root}/checkpoint", interval=None)
     finished.awaitTermination()
-    state.fail_if_dropped(finished)
+    state.fail_if_dropped(stream.sparkSession, finished)
 
 
 def database_of_tables(b: Bindings, label: str) -> tuple[str, DataFrame]:

@@ -62,7 +62,10 @@ SHAPES = {
     "order_reviews": """
         SELECT CAST(conv_id AS VARCHAR) AS review_id, CAST(conv_id AS VARCHAR) AS order_id,
                CAST(1 + length(text) % 5 AS INT) AS review_score, CAST(NULL AS VARCHAR) AS review_comment_title,
-               text AS review_comment_message
+               text AS review_comment_message,
+               TIMESTAMP '1995-01-01' + to_days(CAST(conv_id * 53 % 2400 AS INT)) AS review_creation_date,
+               CASE WHEN turn % 4 <> 3 THEN TIMESTAMP '1995-01-01' + to_days(CAST(conv_id * 53 % 2400 AS INT))
+                    + to_hours(CAST(turn * 7 - 3 AS INT)) END AS review_answer_timestamp
         FROM conversations""",
     "changes": """
         SELECT event_id AS lsn, user_id AS key, ts AS event_time, CAST(ts AS DATE) AS dt,
@@ -453,8 +456,9 @@ _ORACLES = {
         FROM payments p LEFT JOIN orders_v o ON p.order_id = o.order_id""",
     "o39_fact_reviews": f"""
         SELECT review_id, r.order_id, customer_id, {date_key('order_purchase_timestamp')} AS purchase_date_key,
-               CAST(NULL AS INT) AS review_date_key, review_score,
-               CAST(length(review_comment_message) AS INT) AS message_length, CAST(NULL AS BIGINT) AS hours_to_answer
+               {date_key('review_creation_date')} AS review_date_key, review_score,
+               CAST(length(review_comment_message) AS INT) AS message_length,
+               {hours('review_creation_date', 'review_answer_timestamp')} AS hours_to_answer
         FROM order_reviews r LEFT JOIN orders_v o ON r.order_id = o.order_id""",
     "o40_order_totals": f"""
         SELECT order_id, items, CAST(price AS DOUBLE) AS price, CAST(freight AS DOUBLE) AS freight,
@@ -526,13 +530,13 @@ _ORACLES = {
         *row_rules("order_items", {
             "price from 10 to 300": "price NOT BETWEEN 10 AND 300",
             "freight from 5 to 50": "freight_value NOT BETWEEN 5 AND 50"}),
-        *row_rules("order_reviews", {"answer not before creation": "false"}),
+        *row_rules("order_reviews", {"answer not before creation": "review_answer_timestamp < review_creation_date"}),
         *row_rules("orders", {"estimate 10 to 20 days after purchase": """
             order_estimated_delivery_date NOT BETWEEN order_purchase_timestamp + INTERVAL 10 DAY
             AND order_purchase_timestamp + INTERVAL 20 DAY"""}, "orders_v"),
         *row_rules("order_reviews", {
             "reviewed once delivered": "order_status <> 'delivered'",
-            "review after receipt": "false"}, "(SELECT * FROM order_reviews r JOIN orders_v o ON r.order_id = o.order_id)"),
+            "review after receipt": "review_creation_date < order_delivered_customer_date"}, "(SELECT * FROM order_reviews r JOIN orders_v o ON r.order_id = o.order_id)"),
         *row_rules("order_items", {"shipping limit 5 days after purchase":
             "shipping_limit_date <> order_purchase_timestamp + INTERVAL 5 DAY"},
             "(SELECT * FROM order_items i JOIN orders_v o ON i.order_id = o.order_id)"),

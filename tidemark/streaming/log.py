@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from tidemark.sources.change_log import LINE_OPTIONS, change_log_path, fail_on_faulty, log_schema
 from tidemark.streaming.files import make_folder
@@ -52,12 +53,57 @@ def with_delivery_day(stream: DataFrame) -> DataFrame:
     return stream.withColumn("dt", F.current_date())
 
 
+class DroppedRows(StreamingQueryListener):
+    """Rows left out behind the watermark, summed over all micro-batches of each run."""
+
+    def __init__(self) -> None:
+        self.totals: dict[str, int] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        self.totals[str(event.runId)] = 0
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        dropped = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        run = str(event.progress.runId)
+        self.totals[run] = self.totals.get(run, 0) + dropped
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.ended.add(str(event.runId))
+
+    def of(self, query: StreamingQuery, wait_seconds: float = 60) -> int:
+        """Rows one run has left out so far; of a run that has ended, all of them."""
+        run, until = str(query.runId), time.monotonic() + wait_seconds
+        while not query.isActive and run not in self.ended:
+            if time.monotonic() > until:
+                raise TimeoutError(f"no report that run {run} has ended")
+            time.sleep(0.01)
+        return self.totals.get(run, 0)
+
+
+_LISTENERS: dict[str, DroppedRows] = {}
+
+
+def dropped_rows(spark: SparkSession) -> DroppedRows:
+    """The session's count, begun with its first stream."""
+    session = spark.sparkContext.applicationId + str(spark._jsparkSession.hashCode())
+    if session not in _LISTENERS:
+        _LISTENERS[session] = DroppedRows()
+        spark.streams.addListener(_LISTENERS[session])
+    return _LISTENERS[session]
+
+
 def start(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> StreamingQuery:
     """Start a query that resumes from ``checkpoint``.
 
     ``interval`` is the time between micro-batches; None processes what is
-    there in bounded batches and stops.
+    there in bounded batches and stops. Rows that come too late are counted
+    from the first micro-batch on, see ``dropped_rows``.
     """
+    dropped_rows(writer._spark)
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.changes import latest_image, live, merge_batch
 from tidemark.streaming.files import delete_folder, finished_folders
-from tidemark.streaming.log import ROLL_INTERVAL, start
+from tidemark.streaming.log import ROLL_INTERVAL, dropped_rows, start
 
 
 #: Changes are small next to a state of over so many times as many rows.
@@ -62,13 +62,13 @@ def dedupe_stream(
     return reduced.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(identity))
 
 
-def fail_if_dropped(query: StreamingQuery) -> None:
-    """Raise if a micro-batch of this run left out rows behind the watermark.
+def fail_if_dropped(spark: SparkSession, query: StreamingQuery) -> None:
+    """Raise if any micro-batch of this run left out rows behind the watermark.
 
-    Looks at the progress reports that Spark keeps, the last 100 by default
-    (``spark.sql.streaming.numRecentProgressUpdates``).
+    The run has to be started by this library, which counts from its first
+    micro-batch on, however many there are.
     """
-    dropped = sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
+    dropped = dropped_rows(spark).of(query)
     if dropped:
         raise ValueError(f"{dropped} events came later than the delay and were left out; give a longer delay")
 
