@@ -22,7 +22,7 @@ from tidemark.plans import layers
 from tidemark.plans.bindings import Bindings
 from tidemark.session import scratch_dir
 from tidemark.sources import change_log, csv_files, epochs, tables
-from tidemark.streaming import buckets, log, state
+from tidemark.streaming import buckets, keyed, log, state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -120,10 +120,10 @@ def share_of_files(b: Bindings, root: str, table: str = "orders", batches: int =
     return -(-len(files) // batches)
 
 
-def run_to_parquet(stream: DataFrame, root: str) -> None:
+def run_to_parquet(stream: DataFrame, root: str, start=log.start) -> None:
     """Process what is there, resuming from the checkpoint below ``root``."""
     writer = stream.writeStream.format("parquet").option("path", f"{root}/out")
-    finished = log.start(writer, f"{root}/checkpoint", interval=None)
+    finished = start(writer, f"{root}/checkpoint", interval=None)
     finished.awaitTermination()
     state.fail_if_dropped(stream.sparkSession, finished)
 
@@ -285,6 +285,37 @@ def change_log_sink(b):
     )
 
 
+@query("o11_rolled_log")
+def rolled_log(b):
+    """Files of the byte-bounded sink; a tenth of the usual limits, so that days of a small log roll too."""
+    root = scratch_dir(b.spark, "rolled-log")
+    change_log.write_changes(routed(b), root, "all")
+    stream = log.read_change_stream(b.spark, root, "all", CHANGE_SCHEMA)
+    most = log.ROLL_BYTES // 10
+    log.write_rolled_log(
+        change_log.route_changes(stream, "shop"),
+        f"{root}/log",
+        f"{root}/checkpoint",
+        interval=None,
+        max_bytes=most,
+        max_events=log.ROLL_EVENTS // 10,
+        segment=1 << 12,
+    ).awaitTermination()
+    files = quality.report(
+        *(
+            log.read_rolled_log(b.spark, f"{root}/log", CHANGE_SCHEMA, table).withColumn("size", F.col("_metadata.file_size"))
+            for table in schemas.CDC_TABLES
+        )
+    )
+    return files.groupBy("table", "dt", "file").agg(
+        F.count("*").alias("events"),
+        F.min("source.lsn").alias("first_lsn"),
+        F.max("source.lsn").alias("last_lsn"),
+        (F.max("size") <= most).alias("within_bytes"),
+        *payload(wire=True),
+    )
+
+
 @query("o12_route_changes")
 def route_changes(b):
     return change_log.route_changes(routed(b), "shop").select("topic", F.col("source.lsn").alias("lsn"), "op")
@@ -800,6 +831,34 @@ def upsert_restart(b):
     return upserted(b, root, "second", take_over=True)
 
 
+@query("o55_keyed_stream")
+def keyed_stream(b):
+    """Every event delivered twice, the second half after a restart; state in the engine."""
+    early = F.col("lsn") <= middle(b)
+    copies = redelivered(b).drop("table")
+    root = write_log(b, copies.where(early), "keyed")
+    for rest in (None, copies.where(~early)):
+        if rest is not None:
+            change_log.write_changes(events_of(rest), root, "orders")
+        stream = open_stream(b, root, share_of_files(b, root))
+        run_to_parquet(keyed.newest_images(stream, "key"), root, keyed.start_keyed)
+    newest = cdc.latest_state(b.spark.read.parquet(f"{root}/out"), ["key"])
+    return newest.select("key", "lsn", "op", "status", "event_time", "value")
+
+
+@query("o46_illegal_steps_stream")
+def illegal_steps_stream(b):
+    """Illegal steps as they happen; every seventh change comes after a restart, behind later ones of its key."""
+    late = F.col("lsn") % 7 == 0
+    root = write_log(b, b.changes().where(~late), "steps")
+    for rest in (None, b.changes().where(late)):
+        if rest is not None:
+            change_log.write_changes(events_of(rest), root, "orders")
+        stream = open_stream(b, root, share_of_files(b, root))
+        run_to_parquet(keyed.watch_life_cycles(stream, "key", "status"), root, keyed.start_keyed)
+    return keyed.settled_steps(b.spark.read.parquet(f"{root}/out"))
+
+
 @query("o56_late_data")
 def late_data(b):
     # Delivery days run backwards: the oldest events arrive in the last folder.

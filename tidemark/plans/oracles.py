@@ -302,6 +302,11 @@ _ORACLES = {
         SELECT "table", CAST(dt AS VARCHAR) AS dt, count(*) AS events, CAST(sum(lsn) AS BIGINT) AS sum_lsn,
                {PAYLOAD}
         FROM ({ROUTED}) WHERE "table" <> 'geolocation' GROUP BY "table", dt""",
+    "o11_rolled_log": f"""
+        SELECT "table", CAST(dt AS VARCHAR) AS dt, file, count(*) AS events, min(lsn) AS first_lsn, max(lsn) AS last_lsn,
+               true AS within_bytes, {PAYLOAD}
+        FROM (SELECT *, (row_number() OVER (PARTITION BY "table", dt ORDER BY lsn) - 1) // 1000 AS file FROM ({ROUTED}))
+        WHERE "table" <> 'geolocation' GROUP BY "table", dt, file""",
     "o12_route_changes": f"""
         SELECT 'shop.public.' || "table" AS topic, lsn, op FROM ({ROUTED}) WHERE "table" <> 'geolocation'""",
     "o13_snapshot_diff": f"""
@@ -521,6 +526,13 @@ _ORACLES = {
         WHERE coalesce(previous_status, '-') || '>' || status NOT IN (
             '->created', 'created>approved', 'approved>processing', 'processing>invoiced', 'invoiced>shipped',
             'shipped>delivered', 'created>canceled', 'approved>canceled', 'processing>canceled', 'invoiced>canceled')""",
+    "o46_illegal_steps_stream": """
+        SELECT key, lsn, previous_status, status, previous_status IS NULL AS is_first
+        FROM (SELECT key, lsn, op, status,
+                     lag(CASE WHEN op <> 'd' THEN status END) OVER (PARTITION BY key ORDER BY lsn) AS previous_status FROM changes)
+        WHERE op <> 'd' AND coalesce(previous_status, '-') || '>' || status NOT IN (
+            '->created', 'created>approved', 'approved>processing', 'processing>invoiced', 'invoiced>shipped',
+            'shipped>delivered', 'created>canceled', 'approved>canceled', 'processing>canceled', 'invoiced>canceled')""",
     "o47_check_milestones": union(row_rules("orders", MILESTONES, "orders_v")),
     "o47_check_write_rules": union([
         *row_rules("payments", {
@@ -563,6 +575,7 @@ _ORACLES = {
         SELECT op, count(*) AS events, CAST(sum(lsn) AS BIGINT) AS sum_lsn, {PAYLOAD} FROM changes GROUP BY op""",
     "o54_dedupe_stream": f"SELECT lsn, key, op, status, value FROM (SELECT {IMAGE} FROM changes)",
     "o55_upsert_stream": f"SELECT * FROM ({LATEST}) WHERE op <> 'd'",
+    "o55_keyed_stream": f"SELECT * FROM ({LATEST}) WHERE op <> 'd'",
     "o55_upsert_restart": f"SELECT * FROM ({LATEST}) WHERE op <> 'd'",
     "o56_late_data": f"SELECT * FROM ({LATEST}) WHERE op <> 'd'",
     "o57_order_features": f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
@@ -13,10 +13,14 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQue
 from tidemark.sources.change_log import LINE_OPTIONS, change_log_path, fail_on_faulty, log_schema
 from tidemark.streaming.files import make_folder
 
-# A log file is closed after this time or number of events.
+# A log file is closed after this time, number of bytes or of events.
 ROLL_INTERVAL = "300 seconds"
+ROLL_BYTES = 104_857_600
 ROLL_EVENTS = 10_000
 
+#: Log positions whose events are numbered in one group.
+ROLL_SEGMENT = 1 << 24
+
 #: Input of one micro-batch unless told otherwise.
 BATCH_BYTES = 16 << 30
 
@@ -130,6 +134,98 @@ def write_change_log(
     return start(writer, checkpoint, interval)
 
 
+def number_files(
+    lines: DataFrame,
+    max_bytes: int = ROLL_BYTES,
+    max_events: int = ROLL_EVENTS,
+    segment: int = ROLL_SEGMENT,
+    order: str = "lsn",
+) -> DataFrame:
+    """``lines`` (table, dt, position, line) with ``file``, a number within table and day.
+
+    In order of position, a file ends before it would exceed ``max_bytes``,
+    line ends included, or ``max_events``; it may end earlier by the longest
+    line among those of up to half of ``max_bytes``. Longer lines get a file
+    each, numbered -1, -2, … No day forms one group: sizes are summed along
+    segments of the log, and only one row per segment is summed along a day.
+    A null day or table is a folder like any other.
+    """
+    day = ["table", "dt"]
+    group = [*day, "_segment"]
+    size = F.octet_length("line") + F.lit(1).cast("bigint")
+    long = F.col("_size") > max_bytes // 2
+    sized = lines.withColumn("_size", size).withColumns(
+        {
+            "_segment": F.floor(F.col(order) / segment),
+            "_short": F.when(long, 0).otherwise(F.col("_size")),
+            "_one": F.when(long, 0).otherwise(1),
+            "_long": F.when(long, 1).otherwise(0),
+        }
+    )
+    # Named explicitly so that both parts below read one and the same shuffle.
+    sized = sized.repartition(*group)
+    along = Window.partitionBy(*group).orderBy(order, "line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = ("_short", "_one", "_long")
+    inside = sized.withColumns({f"{c}_end": F.sum(c).over(along) for c in sums})
+
+    totals = sized.groupBy(*group).agg(*(F.sum(c).alias(c) for c in sums), F.max("_short").alias("_longest"))
+    earlier = Window.partitionBy(*day).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *(F.col(c).alias(f"_at{c}") for c in group),
+        *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in sums),
+        F.max("_longest").over(Window.partitionBy(*day)).alias("_longest"),
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_at{c}")) for c in group]
+    placed = inside.join(offsets, same)
+    # A file takes ends from one stretch of ``room`` bytes; its first line may begin before it.
+    room = F.lit(max_bytes + 1) - F.col("_longest")
+    ends = {c: F.col(f"{c}_end") + F.col(f"{c}_before") for c in sums}
+    number = F.floor((ends["_short"] - 1) / room) + F.floor((ends["_one"] - 1) / max_events)
+    return placed.withColumn("file", F.when(long, -ends["_long"]).otherwise(number).cast("bigint")).select(
+        *lines.columns, "file"
+    )
+
+
+def write_rolled_log(
+    stream: DataFrame,
+    root: str,
+    checkpoint: str,
+    interval: str | None = ROLL_INTERVAL,
+    max_bytes: int = ROLL_BYTES,
+    max_events: int = ROLL_EVENTS,
+    segment: int = ROLL_SEGMENT,
+) -> StreamingQuery:
+    """Like ``write_change_log``, with files that also roll by bytes; the stream needs ``source.lsn``.
+
+    Files roll with each micro-batch and as ``number_files`` says. A
+    micro-batch is a folder of its own, so a repeated one replaces itself.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        event = F.struct(*(c for c in batch.columns if c not in ("table", "dt", "topic")))
+        lines = batch.select("table", "dt", F.col("source.lsn").alias("lsn"), F.to_json(event).alias("line"))
+        numbered = number_files(lines, max_bytes, max_events, segment)
+        files = numbered.repartition("table", "dt", "file").sortWithinPartitions("table", "dt", "file", "lsn", "line")
+        files.select("table", "dt", "file", "line").write.mode("overwrite").partitionBy("table", "dt", "file").text(
+            f"{root}/batch={batch_id:09d}"
+        )
+
+    return start(stream.writeStream.foreachBatch(write), checkpoint, interval)
+
+
+def read_rolled_log(spark: SparkSession, root: str, schema: T.StructType, table: str) -> DataFrame:
+    """Events of one table from the folders of ``write_rolled_log``."""
+    stored = T.StructType(
+        [
+            *log_schema(schema).fields,
+            T.StructField("batch", T.LongType()),
+            T.StructField("table", T.StringType()),
+            T.StructField("file", T.LongType()),
+        ]
+    )
+    return spark.read.schema(stored).json(root).where(F.col("table") == table)
+
+
 def read_change_log(spark: SparkSession, root: str, schema: T.StructType, table: str) -> DataFrame:
     """Events of one table from the folders of ``write_change_log``.
 
