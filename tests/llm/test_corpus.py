@@ -389,6 +389,37 @@ def test_toxicity_on_held_out_rows(spark):
     assert ((found.score >= 0.3) == (found.predicted == 1)).all() and found.score.between(0, 1).all()
 
 
+def test_toxicity_scores_by_plain_loops():
+    rng = np.random.default_rng(3)
+    wide = 2 * toxicity.WIDTH
+    tables = [rng.normal(size=(toxicity.TABLE, toxicity.WIDTH)) for _ in range(2)]
+    tables[0][0] = tables[1][0] = 0
+    filters = [rng.normal(size=(n, wide, toxicity.FILTERS)) for n in toxicity.SIZES]
+    kinds = len(filters) * toxicity.FILTERS
+    model = toxicity.ToxicityModel(*tables, filters, rng.normal(size=kinds), rng.normal(size=kinds) / 9, 0.1)
+    texts = ["", "one", "a b c d", "ein Wort und noch ein Wort", "x y", ""]
+    rows = [toxicity.Vocabulary().encode(t)[0] for t in texts]
+
+    def score(words):
+        vectors = [[*tables[0][w // toxicity.TABLE], *tables[1][w % toxicity.TABLE]] for w in words]
+        vectors += [[0.0] * wide] * max(toxicity.SIZES)
+        total, unit = 0.1, 0
+        for size, kernel in zip(toxicity.SIZES, filters):
+            for f in range(toxicity.FILTERS):
+                best = max(
+                    sum(vectors[i + t][d] * kernel[t][d][f] for t in range(size) for d in range(wide))
+                    for i in range(len(vectors) - size + 1)
+                )
+                total += max(best + model.bias[unit], 0) * model.out[unit]
+                unit += 1
+        return 1 / (1 + np.exp(-min(max(total, -30), 30)))
+
+    assert np.allclose(model.raw_scores(rows), [score(r) for r in rows])
+    # A score does not depend on the texts around it.
+    alone = np.concatenate([model.raw_scores([r]) for r in rows])
+    assert np.allclose(model.raw_scores(rows[::-1])[::-1], alone)
+
+
 def test_toxicity_of_awkward_rows(spark, awkward, empty):
     labels = spark.createDataFrame([(1, 1), (1, 0), (5, 0), (None, 1), (6, None)], "doc_id long, toxic int")
     model = toxicity.fit_toxicity(awkward, labels)
