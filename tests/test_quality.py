@@ -102,3 +102,16 @@ def test_mix_keeps_values_and_targets_without_counterpart(spark):
     customers = spark.createDataFrame([("u1",), ("u1",), ("u1",), ("u2",)], "customer_unique_id string")
     mix = quality.mix_profile(quality.returning_buyers(customers), "returning", {True: 85, False: 15}, weight="n")
     assert {r.value: (r.n, r.target) for r in mix.collect()} == {"true": (2, 0.85), "false": (2, 0.15)}
+
+
+def test_steps_that_cancel(spark):
+    rows = [("a", 1, "created"), ("a", 2, "created"), ("a", 3, "canceled"), ("b", 1, "created"), ("b", 2, "approved"),
+            ("b", 9, "canceled"), ("c", 1, "shipped"), ("c", 2, "canceled"), ("d", 1, None), ("d", 2, "created")]
+    log = spark.createDataFrame(rows, "order_id string, lsn long, order_status string")
+    assert sorted(r.cancelled for r in quality.cancelled_steps(log, segment=2).collect()) == [False, True, True]
+
+
+def test_delivered_orders_with_a_review(spark):
+    orders = spark.createDataFrame([("a", "delivered"), ("b", "delivered"), ("c", "shipped")], "order_id string, order_status string")
+    reviews = spark.createDataFrame([("a",), ("a",), ("c",), (None,)], "order_id string")
+    assert sorted(r.reviewed for r in quality.reviewed_orders(orders, reviews).collect()) == [False, True]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import FOREIGN_KEYS, allowed_transitions, required_columns
+from tidemark.schemas import CANCELED, FOREIGN_KEYS, allowed_transitions, required_columns
 
 # One log segment of 16 MiB: no more positions than this share a window.
 LOG_SEGMENT = 1 << 24
@@ -272,8 +272,8 @@ def estimate_rules() -> dict[str, Column]:
 def check_write_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rules that rows written by the shop keep to; imported history may not. A null breaks none.
 
-    Reviews and items are compared with their order by a join; one price per
-    product is counted before anything is shuffled.
+    Reviews and items are compared with their order by a join; prices of a
+    product and places of a buyer are reduced before anything is shuffled.
     """
     orders = tables["orders"]
     headers = orders.select("order_id", "order_status", "order_purchase_timestamp", "order_delivered_customer_date")
@@ -281,6 +281,11 @@ def check_write_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
     items = tables["order_items"].select("order_id", "shipping_limit_date").join(headers, "order_id")
     limit = F.col("order_purchase_timestamp") + F.expr("INTERVAL '5' DAY")
     prices = tables["order_items"].groupBy("product_id").agg(F.min("price").alias("low"), F.max("price").alias("high"))
+    place = [f"customer_{c}" for c in ("zip_code_prefix", "city", "state")]
+    buyers = tables["customers"].groupBy("customer_unique_id").agg(
+        *(side(c).alias(f"{name}_{c}") for c in place for name, side in (("low", F.min), ("high", F.max)))
+    )
+    moved = reduce(lambda a, b: a | b, (F.coalesce(F.col(f"low_{c}") != F.col(f"high_{c}"), F.lit(False)) for c in place))
     return report(
         check_rows(tables["payments"], "payments", payment_rules()),
         check_rows(tables["order_items"], "order_items", item_rules()),
@@ -296,6 +301,7 @@ def check_write_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
         ),
         check_rows(items, "order_items", {"shipping limit 5 days after purchase": F.col("shipping_limit_date") != limit}),
         check_rows(prices, "products", {"one price per product": F.col("low") != F.col("high")}),
+        check_rows(buyers, "customers", {"returning buyers keep their place": moved}),
     )
 
 
@@ -373,3 +379,23 @@ def returning_buyers(customers: DataFrame) -> DataFrame:
             )
         )
     )
+
+
+def reviewed_orders(orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Whether each delivered order has a review, for ``mix_profile``."""
+    rated = reviews.groupBy("order_id").agg(F.lit(True).alias("reviewed"))
+    delivered = orders.where("order_status = 'delivered'").select("order_id")
+    return delivered.join(rated, "order_id", "left").select(F.col("reviewed").isNotNull().alias("reviewed"))
+
+
+def cancelled_steps(
+    changes: DataFrame, key: str = "order_id", status: str = "order_status", order: str = "lsn", segment: int = LOG_SEGMENT
+) -> DataFrame:
+    """Whether each step of an order not yet shipped cancels it, for ``mix_profile``.
+
+    Takes a log without redeliveries; a change that leaves the status alone is no step.
+    """
+    steps = with_previous(changes, key, status, order, segment)
+    open_before = F.col(f"previous.{status}").isin([before for before, after in allowed_transitions() if after == CANCELED])
+    moved = F.col(status) != F.col(f"previous.{status}")
+    return steps.where(open_before & moved).select((F.col(status) == CANCELED).alias("cancelled"))

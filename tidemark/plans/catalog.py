@@ -741,7 +741,7 @@ def check_milestones(b):
 
 @query("o47_check_write_rules")
 def check_write_rules(b):
-    names = ("orders", "order_items", "payments", "order_reviews")
+    names = ("orders", "order_items", "payments", "order_reviews", "customers")
     return quality.check_write_rules({name: full_table(b, name) for name in names})
 
 
@@ -752,7 +752,13 @@ def check_item_sequence(b):
 
 @query("o49_mix_profile")
 def mix_profile(b):
-    return layers.mix_profiles({name: getattr(b, name)() for name in ("payments", "order_items", "order_reviews", "customers")})
+    return layers.mix_profiles({name: getattr(b, name)() for name in ("orders", "payments", "order_items", "order_reviews", "customers")})
+
+
+@query("o49_cancel_mix")
+def cancel_mix(b):
+    steps = quality.cancelled_steps(b.changes(), "key", "status", segment=1 << 12)
+    return quality.mix_profile(steps, "cancelled", schemas.CANCEL_WEIGHTS)
 
 
 @query("o50_order_durations")

@@ -134,13 +134,21 @@ def check_events(events: Mapping[str, DataFrame]) -> DataFrame:
 
 def mix_profiles(current: Mapping[str, DataFrame]) -> DataFrame:
     """Shares of values in the current tables next to the expected ones."""
+    reviews = current["order_reviews"]
     profiles = {
         "payment type": quality.mix_profile(current["payments"], "payment_type", schemas.PAYMENT_TYPE_WEIGHTS),
         "items per order": quality.mix_profile(
             quality.items_per_order(current["order_items"]), "items", schemas.ITEMS_PER_ORDER_WEIGHTS
         ),
-        "review score": quality.mix_profile(
-            current["order_reviews"], "review_score", schemas.REVIEW_SCORE_WEIGHTS
+        "review score": quality.mix_profile(reviews, "review_score", schemas.REVIEW_SCORE_WEIGHTS),
+        "reviewed": quality.mix_profile(
+            quality.reviewed_orders(current["orders"], reviews), "reviewed", schemas.REVIEWED_WEIGHTS
+        ),
+        "review with title": quality.mix_profile(
+            reviews.select(F.col("review_comment_title").isNotNull().alias("title")), "title", schemas.REVIEW_TITLE_WEIGHTS
+        ),
+        "review with text": quality.mix_profile(
+            reviews.select(F.col("review_comment_message").isNotNull().alias("text")), "text", schemas.REVIEW_TEXT_WEIGHTS
         ),
         "returning buyer": quality.mix_profile(
             quality.returning_buyers(current["customers"]), "returning", schemas.RETURNING_BUYER_WEIGHTS, weight="n"

@@ -222,12 +222,27 @@ def mixes() -> str:
          "('1', 0.8), ('2', 0.15), ('3', 0.05)"),
         ("review score", "SELECT CAST(review_score AS VARCHAR) AS value, count(*) AS n FROM order_reviews GROUP BY 1",
          "('5', 0.5), ('4', 0.2), ('3', 0.1), ('2', 0.1), ('1', 0.1)"),
+        ("reviewed",
+         "SELECT CAST(order_id IN (SELECT order_id FROM order_reviews) AS VARCHAR) AS value, count(*) AS n "
+         "FROM orders_v WHERE order_status = 'delivered' GROUP BY 1", "('true', 0.4), ('false', 0.6)"),
+        ("review with title",
+         "SELECT CAST(review_comment_title IS NOT NULL AS VARCHAR) AS value, count(*) AS n FROM order_reviews GROUP BY 1",
+         "('true', 0.5), ('false', 0.5)"),
+        ("review with text",
+         "SELECT CAST(review_comment_message IS NOT NULL AS VARCHAR) AS value, count(*) AS n FROM order_reviews GROUP BY 1",
+         "('true', 0.7), ('false', 0.3)"),
         ("returning buyer",
          "SELECT CASE WHEN first THEN 'false' ELSE 'true' END AS value, count(*) AS n FROM ("
          "SELECT row_number() OVER (PARTITION BY customer_unique_id) = 1 AS first FROM customers) GROUP BY 1",
          "('true', 0.85), ('false', 0.15)"),
     ]
-    return union([MIX.format(profile=p, counts=c, targets=re.sub(r", (0\.\d+)\)", r", CAST(\1 AS DOUBLE))", t)) for p, c, t in profiles])
+    return union([_mix(*profile) for profile in profiles])
+
+
+def _mix(profile: str, counts: str, targets: str) -> str:
+    return MIX.format(
+        profile=profile, counts=counts, targets=re.sub(r", (0\.\d+)\)", r", CAST(\1 AS DOUBLE))", targets)
+    )
 
 
 LENGTHS = {
@@ -554,6 +569,9 @@ _ORACLES = {
             "(SELECT * FROM order_items i JOIN orders_v o ON i.order_id = o.order_id)"),
         *row_rules("products", {"one price per product": "low <> high"},
             "(SELECT min(price) AS low, max(price) AS high FROM order_items GROUP BY product_id)"),
+        *row_rules("customers", {"returning buyers keep their place": "zips > 1 OR cities > 1 OR states > 1"},
+            """(SELECT count(DISTINCT customer_zip_code_prefix) AS zips, count(DISTINCT customer_city) AS cities,
+                       count(DISTINCT customer_state) AS states FROM customers GROUP BY customer_unique_id)"""),
     ]),
     "o48_check_item_sequence": rule(
         "order_items", "item numbers contiguous",
@@ -561,6 +579,11 @@ _ORACLES = {
         source="""(SELECT list_sort(list(order_item_id)) = range(1, count(*) + 1) AS sound
                    FROM order_items GROUP BY order_id)"""),
     "o49_mix_profile": mixes(),
+    "o49_cancel_mix": "SELECT value, n, share, target FROM (" + _mix(
+        "cancel", """SELECT CAST(status = 'canceled' AS VARCHAR) AS value, count(*) AS n FROM (
+            SELECT status, lag(status) OVER (PARTITION BY key ORDER BY lsn) AS previous FROM changes)
+            WHERE previous IN ('created', 'approved', 'processing', 'invoiced') AND status <> previous GROUP BY 1""",
+        "('true', 0.05), ('false', 0.95)") + ")",
     "o50_order_durations": f"""
         SELECT order_id, {hours('order_purchase_timestamp', 'order_approved_at')} AS hours_to_approval,
                {hours('order_approved_at', 'order_delivered_carrier_date')} AS hours_to_carrier,

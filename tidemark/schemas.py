@@ -133,6 +133,10 @@ PAYMENT_TYPE_WEIGHTS = {"credit_card": 74, "boleto": 19, "voucher": 5.5, "debit_
 ITEMS_PER_ORDER_WEIGHTS = {1: 80, 2: 15, 3: 5}
 REVIEW_SCORE_WEIGHTS = {5: 50, 4: 20, 3: 10, 2: 10, 1: 10}
 RETURNING_BUYER_WEIGHTS = {True: 85, False: 15}
+REVIEWED_WEIGHTS = {True: 40, False: 60}
+REVIEW_TITLE_WEIGHTS = {True: 50, False: 50}
+REVIEW_TEXT_WEIGHTS = {True: 70, False: 30}
+CANCEL_WEIGHTS = {True: 5, False: 95}
 
 # Place used when a zip code is unknown: zip prefix, city, state.
 DEFAULT_PLACE = (10000, "Sao Paulo", "SP")
