@@ -342,6 +342,25 @@ def test_encoding_equals_library(libraries, chunk, overlap):
         assert encoder.decode(packed) == text.encode()
 
 
+def test_parts_of_a_text_are_encoded_by_several_tasks(spark, libraries):
+    rng = random.Random(5)
+    mixed = ["".join(rng.choice("ab cdE  \n\t're123é中文ßΩ!?., \U0001f600") for _ in range(n)) for n in (400, 3000, 3001)]
+    # The last two have no boundary where parts overlap; one text stands three times, one is null.
+    texts = [*mixed, mixed[1], mixed[1], "x" * 4000, "word " * 200 + " " * 900 + "end", "", None]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, text_key string")
+    for part, overlap in ((64, 16), (500, 100), (37, 4)):
+        sizes = {"spread_bytes": 300, "part": part, "part_overlap": overlap}
+        found = bpe.encode_documents(docs.repartition(3), **sizes).collect()
+        assert len(found) == len(texts) and found[0].asDict().keys() == {"doc_id", "ids", "text_key"}
+        for row in found:
+            want = libraries[0].encode_ordinary(texts[row.doc_id] or "")
+            assert np.frombuffer(row.ids, "<u4").tolist() == want, (row.doc_id, part)
+    key_text = docs.where("doc_id = 2").selectExpr("'k' AS key", "text")
+    parts = key_text.mapInArrow(bpe._cut(64, 16), bpe._spark_schema(bpe._PART))
+    assert parts.repartition(8, "key", "number").select(F.spark_partition_id()).distinct().count() > 3
+    assert bpe._encode_spread(key_text, "byte_bpe_50k.tiktoken", 64, 16).where("ids IS NOT NULL").count() == 1
+
+
 def test_counts_equal_library(libraries):
     counter = token_counts.TokenCounter("byte_bpe_50k.json", cache_size=50)
     for text in odd_texts():
