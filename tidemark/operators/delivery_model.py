@@ -77,3 +77,19 @@ def load_model(path: str) -> PipelineModel:
 def score(model: PipelineModel, features: DataFrame) -> DataFrame:
     """Predicted delivery hours of every order."""
     return model.transform(features).select("order_id", "delivery_hours", "predicted_hours")
+
+
+def prediction_error(scored: DataFrame) -> DataFrame:
+    """(n, mean_error, rmse, r2) of the delivered orders of ``score``; one row.
+
+    Meant for orders that the model was not fitted on. ``r2`` is null where all took
+    equally long; without delivered orders all but ``n`` is null.
+    """
+    error = F.col("predicted_hours") - F.col("delivery_hours")
+    spread = F.var_pop("delivery_hours")
+    return scored.where(F.col("delivery_hours").isNotNull()).agg(
+        F.count("*").alias("n"),
+        F.avg(error).alias("mean_error"),
+        F.sqrt(F.avg(error * error)).alias("rmse"),
+        F.when(spread > 0, 1 - F.avg(error * error) / spread).alias("r2"),
+    )

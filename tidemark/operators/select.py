@@ -40,6 +40,22 @@ def sample_rows(df: DataFrame, percent: float, seed: int, key: str | None = None
     return df.where(F.substring(drawn, 1, 8) < f"{int(percent / 100 * 2**32):08x}")
 
 
+def sample_files(df: DataFrame, percent: float, seed: int, block: str = r"[^/]*$") -> DataFrame:
+    """All rows of about ``percent`` of the blocks of a table in files; the other files are never opened.
+
+    A block is the files whose paths agree in what the pattern ``block`` matches
+    first: single files as it stands, folders of a day with ``dt=[^/]+``. A
+    hash of it decides, so the choice is the same on every run and, for names that a
+    new copy of the table keeps, on every copy. Rows that stand
+    together are drawn together. ``df`` must be a plain read of files.
+    """
+    if percent >= 100:
+        return df
+    name = F.regexp_extract(F.col("_metadata.file_path"), block, 0)
+    drawn = F.md5(F.concat(F.lit(f"{seed}:"), name))
+    return df.where(F.substring(drawn, 1, 8) < f"{int(percent / 100 * 2**32):08x}")
+
+
 def random_top(df: DataFrame, n: int, seed: int, key: str | None = None) -> DataFrame:
     """``n`` rows in random order.
 

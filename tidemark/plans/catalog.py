@@ -21,7 +21,7 @@ from tidemark.operators import delivery_model, gold, quality, select, silver
 from tidemark.plans import layers
 from tidemark.plans.bindings import Bindings
 from tidemark.session import scratch_dir
-from tidemark.sources import change_log, csv_files, epochs, tables
+from tidemark.sources import change_log, csv_files, drift, epochs, tables
 from tidemark.streaming import buckets, keyed, log, state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -233,6 +233,35 @@ def changes_table(b):
     return flat(b.spark.table(name)).select("lsn", "key", "op", "status", "event_time", "value", "dt")
 
 
+def drifting(b: Bindings) -> str:
+    """A log whose fields change with the days: value gets fractions, status is added, key becomes text, value goes."""
+    rows = b.changes().withColumn("cents", F.col("lsn") % 100)
+    first, second, third = (F.lit(d).cast("date") for d in ("2024-01-11", "2024-01-21", "2024-01-26"))
+    shapes = [
+        (F.col("dt") < first, ["key", F.col("cents").alias("value")]),
+        (F.col("dt").between(first, F.date_sub(second, 1)), ["key", (F.col("cents") + 0.5).alias("value"), "status"]),
+        (F.col("dt").between(second, F.date_sub(third, 1)), [F.concat(F.lit("k"), "key").alias("key"), (F.col("cents") + 0.5).alias("value"), "status"]),
+        (F.col("dt") >= third, [F.concat(F.lit("k"), "key").alias("key"), "status"]),
+    ]
+    root = scratch_dir(b.spark, "drift")
+    for days, fields in shapes:
+        event = F.struct("op", F.struct("lsn").alias("source"), F.struct(*fields).alias("after"))
+        part = rows.where(days).select("dt", F.to_json(event).alias("value"))
+        part.write.mode("append").partitionBy("dt").text(change_log.change_log_path(root, "orders"))
+    return root
+
+
+@query("o09_schema_drift")
+def schema_drift(b):
+    types = drift.field_types(drift.variant_log(b.spark, drifting(b), "orders"))
+    return drift.schema_drift(types)
+
+
+@query("o09_drifted_changes")
+def drifted_changes(b):
+    return drift.read_drifted_changes(b.spark, drifting(b), "orders")
+
+
 @query("o10_partition_discovery")
 def partition_discovery(b):
     root = write_log(b, b.changes(), "partitions")
@@ -598,6 +627,15 @@ def sample_rows(b):
     return select.sample_rows(b.customers(), 5, seed=7, key="customer_id")
 
 
+@query("o33_sample_blocks")
+def sample_blocks(b):
+    """Whole delivery days of a log, two in five."""
+    root = write_log(b, b.changes(), "blocks")
+    events = b.spark.read.schema(change_log.log_schema(CHANGE_SCHEMA)).json(change_log.change_log_path(root, "orders"))
+    drawn = select.sample_files(events, 40, seed=7, block="dt=[^/]+")
+    return flat(drawn).select("lsn", "key", "op", "status", "event_time", "value", "dt")
+
+
 @query("o34_random_top")
 def random_top(b):
     return select.random_top(select.open_orders(b.orders()), 100, seed=7, key="order_id").select(
@@ -896,3 +934,14 @@ def value_trend(b):
     fitted = [(float(line.coefficients[0]), float(line.intercept))]
     found = b.spark.createDataFrame(fitted, "slope double, intercept double")
     return found.select(F.round("slope", 8).alias("slope"), F.round("intercept", 5).alias("intercept"))
+
+
+@query("o57_held_out_error")
+def held_out_error(b):
+    """Error on every fifth order of a model of three features, without penalty, fitted on the others."""
+    features = delivery_model.order_features(b.orders(), b.order_items(), b.customers())
+    held_out = F.col("order_id").cast("bigint") % 5 == 0
+    numbers = ["items", "value", "hours_to_approval"]
+    model = delivery_model.fit_delivery_model(features.where(~held_out), numbers, state_slots=0, penalty=0.0)
+    error = delivery_model.prediction_error(delivery_model.score(model, features.where(held_out)))
+    return error.select("n", *(F.round(c, 5).alias(c) for c in ("mean_error", "rmse", "r2")))

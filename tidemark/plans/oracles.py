@@ -289,6 +289,59 @@ history AS (
              WHEN order_status = 'shipped' THEN 'delivered' ELSE order_status END AS status) s)
 SELECT {ALL_ORDERS} FROM history QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY step DESC) = 1"""
 
+# Fields of the log whose shape changes on three days.
+DRIFTING = """SELECT dt, op, lsn, CASE WHEN dt < DATE '2024-01-21' THEN CAST(key AS VARCHAR) ELSE 'k' || key END AS key,
+        CASE WHEN dt >= DATE '2024-01-11' THEN status END AS status,
+        CASE WHEN dt < DATE '2024-01-11' THEN lsn % 100 WHEN dt < DATE '2024-01-26' THEN lsn % 100 + 0.5::DOUBLE END AS value
+    FROM changes"""
+
+DRIFT = f"""
+WITH days AS (SELECT dt, row_number() OVER (ORDER BY dt) AS n FROM (SELECT DISTINCT dt FROM changes)),
+typed AS (
+    SELECT n, 'key' AS field, CASE WHEN dt < DATE '2024-01-21' THEN 'bigint' ELSE 'string' END AS type FROM days
+    UNION ALL SELECT n, 'status', 'string' FROM days WHERE dt >= DATE '2024-01-11'
+    UNION ALL SELECT n, 'value', CASE WHEN dt < DATE '2024-01-11' THEN 'bigint' ELSE 'double' END FROM days
+    WHERE dt < DATE '2024-01-26')
+SELECT CAST(d.dt AS VARCHAR) AS dt, field, change, previous_type, type
+FROM (SELECT coalesce(t.n, p.n + 1) AS n, coalesce(t.field, p.field) AS field, p.type AS previous_type, t.type AS type,
+             CASE WHEN p.n IS NULL THEN 'added' WHEN t.n IS NULL THEN 'lost'
+                  WHEN p.type = 'bigint' AND t.type = 'double' THEN 'widened' ELSE 'changed' END AS change
+      FROM typed t FULL JOIN typed p ON t.field = p.field AND t.n = p.n + 1) c
+JOIN days d ON d.n = c.n
+WHERE previous_type IS DISTINCT FROM type"""
+
+
+def _determinant(a: str, b: str, c: str) -> str:
+    """Of a matrix of three columns, each a list in SQL."""
+    return (
+        f"({a}[1] * ({b}[2] * {c}[3] - {b}[3] * {c}[2]) - {b}[1] * ({a}[2] * {c}[3] - {a}[3] * {c}[2])"
+        f" + {c}[1] * ({a}[2] * {b}[3] - {a}[3] * {b}[2]))"
+    )
+
+
+# Normal equations of three features about their means, solved by Cramer's rule.
+HELD_OUT = f"""
+WITH features AS (
+    SELECT CAST(o.order_id AS BIGINT) % 5 = 0 AS held_out, coalesce(CAST(items AS DOUBLE), 0) AS p,
+           coalesce(CAST(price AS DOUBLE), 0) AS q,
+           coalesce(CAST({hours('order_purchase_timestamp', 'order_approved_at')} AS DOUBLE), 0) AS r,
+           CAST({hours('order_purchase_timestamp', 'order_delivered_customer_date')} AS DOUBLE) AS y
+    FROM orders_v o LEFT JOIN ({TOTALS}) t ON o.order_id = t.order_id),
+sums AS (
+    SELECT avg(p) AS mp, avg(q) AS mq, avg(r) AS mr, avg(y) AS my,
+           [var_pop(p), covar_pop(p, q), covar_pop(p, r)] AS cp, [covar_pop(p, q), var_pop(q), covar_pop(q, r)] AS cq,
+           [covar_pop(p, r), covar_pop(q, r), var_pop(r)] AS cr, [covar_pop(p, y), covar_pop(q, y), covar_pop(r, y)] AS cy
+    FROM features WHERE NOT held_out AND y IS NOT NULL),
+weights AS (
+    SELECT *, {_determinant('cy', 'cq', 'cr')} / {_determinant('cp', 'cq', 'cr')} AS wp,
+           {_determinant('cp', 'cy', 'cr')} / {_determinant('cp', 'cq', 'cr')} AS wq,
+           {_determinant('cp', 'cq', 'cy')} / {_determinant('cp', 'cq', 'cr')} AS wr FROM sums),
+errors AS (
+    SELECT my + wp * (p - mp) + wq * (q - mq) + wr * (r - mr) - y AS e, y FROM features, weights
+    WHERE held_out AND y IS NOT NULL)
+SELECT count(*) AS n, round(avg(e), 5) AS mean_error, round(sqrt(avg(e * e)), 5) AS rmse,
+       round(1 - avg(e * e) / var_pop(y), 5) AS r2 FROM errors"""
+
 _ORACLES = {
     "o01_load_csv": """
         SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
@@ -307,6 +360,8 @@ _ORACLES = {
     "o08_quoted_csv": "SELECT CAST(doc_id AS VARCHAR) AS review_id, text AS review_comment_message FROM documents",
     "o09_read_changes": f"SELECT {IMAGE}, CAST(dt AS VARCHAR) AS dt FROM changes",
     "o09_changes_table": f"SELECT {IMAGE}, CAST(dt AS VARCHAR) AS dt FROM changes",
+    "o09_schema_drift": DRIFT,
+    "o09_drifted_changes": f"SELECT CAST(dt AS VARCHAR) AS dt, op, lsn, key, status, value FROM ({DRIFTING})",
     "o10_partition_discovery": f"""
         SELECT CAST(dt AS VARCHAR) AS dt, count(*) AS events, CAST(sum(lsn) AS BIGINT) AS sum_lsn, {PAYLOAD}
         FROM changes GROUP BY dt""",
@@ -407,6 +462,9 @@ _ORACLES = {
     "o32_open_orders": "SELECT order_id, order_status FROM orders_v WHERE order_status NOT IN ('delivered', 'canceled')",
     "o33_sample_rows": """
         SELECT * FROM customers WHERE substr(md5('7:' || customer_id), 1, 8) < '0ccccccc'""",
+    "o33_sample_blocks": f"""
+        SELECT {IMAGE}, CAST(dt AS VARCHAR) AS dt FROM changes
+        WHERE substr(md5('7:dt=' || CAST(dt AS VARCHAR)), 1, 8) < '66666666'""",
     "o34_random_top": """
         SELECT order_id, order_status FROM orders_v WHERE order_status NOT IN ('delivered', 'canceled')
         ORDER BY md5('7:' || order_id), order_id LIMIT 100""",
@@ -609,6 +667,7 @@ _ORACLES = {
                CAST({hours('order_purchase_timestamp', 'order_delivered_customer_date')} AS DOUBLE) AS delivery_hours
         FROM orders_v o LEFT JOIN ({TOTALS}) t ON o.order_id = t.order_id
         LEFT JOIN customers c ON o.customer_id = c.customer_id""",
+    "o57_held_out_error": HELD_OUT,
     "o57_value_trend": f"""
         SELECT round(regr_slope(y, x), 8) AS slope, round(regr_intercept(y, x), 5) AS intercept
         FROM (SELECT coalesce(CAST(price AS DOUBLE), 0) AS x,
