@@ -393,6 +393,14 @@ def test_token_queries(spark, libraries, documents, awkward, empty):
     assert bpe.encoding_digests(empty).count() == token_counts.token_counts(empty).count() == 0
 
 
+@pytest.mark.parametrize("name", ["op2_simhash", "op5_byte_bpe", "op6_toxicity", "op9_token_counts", "op10_language_id"])
+def test_every_document_has_one_row(spark, name):
+    found = queries.QUERIES[name](spark, TINY).select("doc_id")
+    whole = spark.read.parquet(f"{TINY}/documents.parquet").select("doc_id")
+    assert found.count() == whole.count() > 0
+    assert found.exceptAll(whole).isEmpty()
+
+
 # Toxicity
 
 
