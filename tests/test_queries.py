@@ -5,6 +5,8 @@ import pytest
 import __spark_entry__ as contract
 from tests.compare import compare, oracle_connection
 from tests.conftest import TINY
+from tidemark.plans.catalog import QUERIES
+from tidemark.plans.oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -17,9 +19,12 @@ def test_query_equals_oracle(spark, connection, name):
     assert compare(spark, connection, name, TINY) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(contract.oracle_sql())))
-def test_query_without_oracle_runs(spark, name):
-    assert contract.queries()[name](spark, TINY).count() >= 0
+def test_every_order_is_scored(spark):
+    scored = contract.queries()["o57_delivery_model"](spark, TINY)
+    orders = spark.read.parquet(f"{TINY}/orders.parquet")
+    assert scored.count() == scored.select("order_id").distinct().count() == orders.count() > 0
+    assert scored.where("predicted_hours IS NULL OR isnan(predicted_hours)").isEmpty()
+    assert set(QUERIES) - set(ORACLES) == {"o57_delivery_model"}
 
 
 def test_entry(spark):

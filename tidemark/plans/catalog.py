@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.functions import micros_of
+from tidemark.functions import as_timestamp, micros_of
 from tidemark.operators import changes as cdc
 from tidemark.operators import delivery_model, gold, quality, select, silver
 from tidemark.plans import layers
 from tidemark.plans.bindings import Bindings
 from tidemark.session import scratch_dir
 from tidemark.sources import change_log, csv_files, drift, epochs, tables
-from tidemark.streaming import buckets, keyed, log, state
+from tidemark.streaming import buckets, keyed, lateness, log, state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -910,6 +910,32 @@ def late_data(b):
     return upserted(b, write_log(b, b.changes().withColumn("dt", backwards), "late"))
 
 
+@query("o56_lateness")
+def late_deliveries(b):
+    """Lateness by delivery day over two runs of a stream, and whether its quantiles hold among all events."""
+    delivered = F.date_add("dt", (F.col("lsn") * F.col("lsn") % 11 % 5).cast("int"))
+    rows = b.changes().withColumn("dt", delivered)
+    early = F.col("lsn") <= middle(b)
+    root = write_log(b, rows.where(early), "lateness")
+    for rest in (None, rows.where(~early)):
+        if rest is not None:
+            change_log.write_changes(events_of(rest), root, "orders")
+        stream = open_stream(b, root, share_of_files(b, root))
+        # A delete carries only its key, so the event time comes from the envelope.
+        timed = lateness.with_lateness(stream.withColumn("event_time", as_timestamp(F.col("ts_ms") * 1000)))
+        lateness.lateness_stream(timed, f"{root}/late", f"{root}/checkpoint", interval=None).awaitTermination()
+    days = lateness.read_lateness(b.spark, f"{root}/late")
+    # Ranks of the reported quantiles among all events of their day.
+    ranked = lateness.with_lateness(rows).join(days.select("dt", "within"), "dt").groupBy("dt")
+    bounds = [
+        (F.count_if(F.col("late_seconds") < F.col("within")[i]) / F.count("*") <= share + 0.05)
+        & (F.count_if(F.col("late_seconds") <= F.col("within")[i]) / F.count("*") >= share - 0.05)
+        for i, share in enumerate(lateness.SHARES)
+    ]
+    sound = ranked.agg(*(x.alias(f"within_{int(share * 100)}") for x, share in zip(bounds, lateness.SHARES)))
+    return days.drop("within", "sketch").join(sound, "dt")
+
+
 # --- machine learning ------------------------------------------------------
 
 

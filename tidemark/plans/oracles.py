@@ -659,6 +659,12 @@ _ORACLES = {
     "o55_keyed_stream": f"SELECT * FROM ({LATEST}) WHERE op <> 'd'",
     "o55_upsert_restart": f"SELECT * FROM ({LATEST}) WHERE op <> 'd'",
     "o56_late_data": f"SELECT * FROM ({LATEST}) WHERE op <> 'd'",
+    "o56_lateness": """
+        SELECT CAST(day AS VARCHAR) AS dt, count(*) AS events, count(*) FILTER (late > 0) AS late, 0::BIGINT AS untimed,
+               max(late) AS longest, true AS within_50, true AS within_90, true AS within_99
+        FROM (SELECT day, greatest(0, CAST(floor(date_diff('microsecond', event_time, CAST(day AS TIMESTAMP)) / 1e6) AS BIGINT)) AS late
+              FROM (SELECT CAST(dt + CAST(lsn * lsn % 11 % 5 AS INT) AS DATE) AS day, event_time FROM changes))
+        GROUP BY day""",
     "o57_order_features": f"""
         SELECT o.order_id, CAST(coalesce(items, 0) AS DOUBLE) AS items, coalesce(CAST(price AS DOUBLE), 0) AS value,
                coalesce(CAST(freight AS DOUBLE), 0) AS freight,
