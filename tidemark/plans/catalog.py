@@ -922,7 +922,7 @@ def late_deliveries(b):
             change_log.write_changes(events_of(rest), root, "orders")
         stream = open_stream(b, root, share_of_files(b, root))
         # A delete carries only its key, so the event time comes from the envelope.
-        timed = lateness.with_lateness(stream.withColumn("event_time", as_timestamp(F.col("ts_ms") * 1000)))
+        timed = lateness.with_lateness(stream.withColumn("event_time", as_timestamp((F.col("ts_ms") * 1000).cast("string"))))
         lateness.lateness_stream(timed, f"{root}/late", f"{root}/checkpoint", interval=None).awaitTermination()
     days = lateness.read_lateness(b.spark, f"{root}/late")
     # Ranks of the reported quantiles among all events of their day.
