@@ -447,6 +447,51 @@ def test_toxicity_scores_by_plain_loops():
     assert np.allclose(model.raw_scores(rows[::-1])[::-1], alone)
 
 
+def test_toxicity_learns_from_every_labelled_text(spark):
+    rng = random.Random(5)
+    # Every text has a mark, of its kind and number; the toxic ones have it behind 60,000 characters.
+    plain = [" ".join(rng.choices(["lorem", "ipsum", "dolor", "sit"], k=12)) for _ in range(400)]
+    marks = ["vile" if i % 2 else "kind" for i in range(400)]
+    rows = [(i, f"{t} {'pad ' * (15_000 if i % 40 == 1 else 0)}{m}{i % 50}", i % 2) for i, (t, m) in enumerate(zip(plain, marks))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(5)
+    labels = docs.select("doc_id", "toxic")
+    encoded = toxicity._labelled(docs, labels, "doc_id", "text", "toxic", 64)
+    found = encoded.selectExpr("count(*) AS n", "count(DISTINCT shard) AS shards", "max(octet_length(words)) AS longest").first()
+    assert found.n == 400 and found.shards == 7 and found.longest == 8 * 15_013
+    models = [toxicity.fit_toxicity(d, labels, shard_texts=64) for d in (docs, docs.repartition(2))]
+    scored = toxicity.score_toxicity(docs, models[0]).join(labels, "doc_id").toPandas()
+    assert (scored.predicted == scored.toxic).mean() > 0.97
+    # Neither partitions nor their order count.
+    assert all(np.array_equal(getattr(models[0], c), getattr(models[1], c)) for c in ("first", "second", "out", "bias"))
+    assert models[0].thresholds == models[1].thresholds and models[0].default == models[1].default
+
+
+def test_toxicity_thresholds_have_the_best_f1():
+    rng = np.random.default_rng(2)
+    steps, labels = rng.integers(0, toxicity.CUTS, 300), rng.integers(0, 2, 300)
+    counts = [np.bincount(steps[labels == n], minlength=toxicity.CUTS) for n in (1, 0)]
+    def f1(cut):
+        drawn = (steps + 0.5) / toxicity.CUTS >= cut
+        return 2 * (drawn & (labels == 1)).sum() / (drawn.sum() + labels.sum())
+
+    best = max(f1((s + 0.5) / toxicity.CUTS) for s in steps)
+    assert f1(toxicity._best_cut(*counts)) == best
+
+
+@pytest.mark.parametrize("piece", [3, 4, 1 << 16])
+def test_toxicity_windows_of_long_texts(monkeypatch, piece):
+    rng = np.random.default_rng(1)
+    model = toxicity.model_of(toxicity.initial(3) | {"first": rng.normal(size=(toxicity.TABLE, toxicity.WIDTH))})
+    texts = [rng.integers(1, 50, n) * toxicity.TABLE + rng.integers(1, 50, n) for n in (0, 1, 2, 3, 4, 5, 9, 40)]
+    monkeypatch.setattr(toxicity, "PIECE", piece)
+    pooled, windows = toxicity.winners(model, texts)
+    assert np.allclose(model.probability(pooled), model.raw_scores(texts), atol=1e-5)
+    for k, (size, found) in enumerate(zip(toxicity.SIZES, windows)):
+        vectors = model.embed(found.ravel()).reshape(*found.shape, -1)
+        again = np.einsum("ntfd,tdf->nf", vectors, model.filters[k])
+        assert np.allclose(again, pooled[:, k * toxicity.FILTERS : (k + 1) * toxicity.FILTERS], atol=1e-5)
+
+
 def test_toxicity_of_awkward_rows(spark, awkward, empty):
     labels = spark.createDataFrame([(1, 1), (1, 0), (5, 0), (None, 1), (6, None)], "doc_id long, toxic int")
     model = toxicity.fit_toxicity(awkward, labels)
