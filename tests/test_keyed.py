@@ -122,3 +122,27 @@ def test_rolled_log_keeps_every_event(spark, tmp_path):
     assert sorted(r[0] for r in found.select("source.lsn").collect()) == list(range(80))
     assert found.agg(F.max("size")).first()[0] <= 1000
     assert found.select("batch").distinct().count() == 2
+
+
+def test_rolled_log_is_listed_by_few_tasks(spark, tmp_path):
+    root, tracker = f"{tmp_path}/log", spark.sparkContext.statusTracker()
+    for batch in range(2):
+        for table in ("orders", "a:b", "payments"):
+            for day in ("2026-01-21", "__HIVE_DEFAULT_PARTITION__"):
+                for file in range(-1, 34):
+                    folder = tmp_path / f"log/batch={batch:09d}/table={table.replace(':', '%3A')}/dt={day}/file={file}"
+                    folder.mkdir(parents=True)
+                    (folder / "part.txt").write_text('{"op":"c","source":{"lsn":%d}}\n' % (batch * 100 + file))
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        found = {t: log.read_rolled_log(spark, root, SCHEMA, t) for t in ("orders", "a:b", "orderss")}
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("listing")]
+        tasks = sum(tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert tasks <= 64
+    assert found["orderss"].count() == 0
+    for table in ("orders", "a:b"):
+        rows = found[table].select("table", "dt", "batch", "file", "source.lsn").collect()
+        assert len(rows) == len(set(rows)) == 2 * 2 * 35 and {r.table for r in rows} == {table}
+        assert all(r.lsn == r.batch * 100 + r.file for r in rows) and {str(r.dt) for r in rows} == {"2026-01-21", "None"}

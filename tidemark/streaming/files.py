@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 
@@ -28,6 +30,14 @@ def folder_numbers(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n) for status in fs.globStatus(names) or [] if (n := status.getPath().getName()).isdigit())
 
 
+def partition_folders(spark: SparkSession, pattern: str, value: str) -> list[str]:
+    """Folders that fit ``pattern`` whose last part is a partition of this value."""
+    names, fs = _path(spark, pattern)
+    paths = [status.getPath() for status in fs.globStatus(names) or []]
+    # Characters that paths cannot hold are written as %XX.
+    return sorted(str(path.toString()) for path in paths if unquote(path.getName()).partition("=")[2] == value)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     jvm_path, fs = _path(spark, path)
     fs.delete(jvm_path, True)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from tidemark.sources.change_log import LINE_OPTIONS, change_log_path, fail_on_faulty, log_schema
-from tidemark.streaming.files import make_folder
+from tidemark.streaming.files import make_folder, partition_folders
 
 # A log file is closed after this time, number of bytes or of events.
 ROLL_INTERVAL = "300 seconds"
@@ -21,6 +21,10 @@ ROLL_EVENTS = 10_000
 #: Log positions whose events are numbered in one group.
 ROLL_SEGMENT = 1 << 24
 
+#: Tasks that list the files of a rolled log.
+LISTING_TASKS = 32
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 #: Input of one micro-batch unless told otherwise.
 BATCH_BYTES = 16 << 30
 
@@ -214,7 +218,11 @@ def write_rolled_log(
 
 
 def read_rolled_log(spark: SparkSession, root: str, schema: T.StructType, table: str) -> DataFrame:
-    """Events of one table from the folders of ``write_rolled_log``."""
+    """Events of one table from the folders of ``write_rolled_log``.
+
+    Only the table's own folders are listed, by one job of up to ``LISTING_TASKS`` tasks:
+    left to Spark, every folder of a day with many files is a job, every file a task.
+    """
     stored = T.StructType(
         [
             *log_schema(schema).fields,
@@ -223,7 +231,17 @@ def read_rolled_log(spark: SparkSession, root: str, schema: T.StructType, table:
             T.StructField("file", T.LongType()),
         ]
     )
-    return spark.read.schema(stored).json(root).where(F.col("table") == table)
+    folders = partition_folders(spark, f"{root}/batch=*/table=*", table)
+    if not folders:
+        return spark.createDataFrame([], stored)
+    before = spark.conf.get(_LISTING, None)
+    spark.conf.set(_LISTING, LISTING_TASKS)
+    try:
+        # The files are listed here and now, and not again.
+        events = spark.read.schema(stored).option("basePath", root).json([f"{f}/dt=*/file=*" for f in folders])
+    finally:
+        spark.conf.unset(_LISTING) if before is None else spark.conf.set(_LISTING, before)
+    return events.where(F.col("table") == table)
 
 
 def read_change_log(spark: SparkSession, root: str, schema: T.StructType, table: str) -> DataFrame:
