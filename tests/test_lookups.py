@@ -46,6 +46,39 @@ def test_price_as_of_equals_brute_force(spark, segment_seconds):
     assert sorted(map(tuple, found.collect())) == sorted(expected)
 
 
+@pytest.mark.parametrize("hot_rows", [0, 30, 100, 10**6])
+def test_prices_of_hot_products_are_carried_over_segments(spark, hot_rows):
+    rng = random.Random(6)
+
+    def moment():
+        return rng.choice([None, *[DAY + dt.timedelta(hours=6 * rng.randint(-200, 200)) for _ in range(20)]])
+
+    product = lambda: rng.choice(["hot"] * 6 + ["warm", "cold", None])
+    items = [(f"o{rng.randint(0, 40)}", rng.randint(1, 3), product(), moment(), rng.choice([None, rng.randint(1, 99) / 4])) for _ in range(300)]
+    asked = [(None if i % 9 == 0 else i, product(), moment()) for i in range(200)]
+    found = select.price_as_of(
+        spark.createDataFrame(asked, "id int, product_id string, when timestamp_ntz"),
+        spark.createDataFrame(items, ITEMS), 1.5, at="when", hot_rows=hot_rows,
+    )
+    assert found.columns == ["id", "product_id", "when", "price"]
+    expected = Counter((i, p, when, as_of(items, p, when)) for i, p, when in asked)
+    assert Counter(map(tuple, found.collect())) == expected
+
+
+def test_rows_of_common_products_are_shuffled_once(spark, tmp_path):
+    rows = spark.range(3_000).selectExpr(
+        "CAST(id AS STRING) AS order_id", "1 AS order_item_id", "CAST(id % 70 AS STRING) AS product_id",
+        "TIMESTAMP_NTZ '2026-01-01 00:00:00' + make_dt_interval(CAST(id AS INT)) AS shipping_limit_date", "CAST(id AS DOUBLE) AS price",
+    )
+    rows.write.parquet(f"{tmp_path}/rows")
+    items = spark.read.parquet(f"{tmp_path}/rows")
+    found = select.price_as_of(items.withColumnRenamed("shipping_limit_date", "at").drop("price"), items, 1.5)
+    found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Without hot products, only the window is left of the plan.
+    assert final.count("Exchange hashpartitioning(product_id") == 1, final
+
+
 def test_first_items_and_equal_times_see_no_price(spark):
     items = spark.createDataFrame([("o", 1, "p", DAY, 5.0), ("o", 2, "p", DAY + dt.timedelta(days=40), 7.0)], ITEMS)
     times = [DAY, DAY + dt.timedelta(microseconds=1), DAY + dt.timedelta(days=40), DAY + dt.timedelta(days=400)]

@@ -93,6 +93,7 @@ def price_as_of(
     default: float,
     at: str = "at",
     segment_seconds: int = 86_400,
+    hot_rows: int = 100_000,
 ) -> DataFrame:
     """``requests`` with ``price``: that of the product's latest item before ``at``, or a default price.
 
@@ -101,40 +102,53 @@ def price_as_of(
     ordered by order, item number and price. Requests without product or time get
     the default, items without time or price are passed over.
 
-    Time is cut into segments. Within one, requests and items of a product stand
-    in one window; over its start only the last price of all earlier segments is
-    carried, which enters as one more row. So a product with a third of all
-    rows is as many groups as it has segments, and nothing is joined.
+    Requests and items of a product stand in one window. The time of products of more than
+    ``hot_rows`` rows is cut into segments, each with a window of its own; over its start
+    only the last price of all earlier segments is carried, which enters as one more row. So a
+    product with a third of all rows is as many groups as it has segments, the others are
+    shuffled once, and nothing is joined but the list of hot products, of which there is
+    at most one per ``hot_rows`` rows.
     """
     order = ("shipping_limit_date", "order_id", "order_item_id", "price")
-    sold = items.where(F.col("shipping_limit_date").isNotNull() & F.col("price").isNotNull())
+    sold = F.col("product_id").isNotNull() & F.col("shipping_limit_date").isNotNull() & F.col("price").isNotNull()
+    answerable = F.col("product_id").isNotNull() & F.col(at).isNotNull()
+    # Product and time stand in the row already.
+    rest = [c for c in requests.columns if c not in ("product_id", at)]
 
     def segment(time: str) -> Column:
         days = F.unix_date(F.col(time).cast("date")).cast("bigint")
         seconds = F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
         return F.floor((days * 86_400 + seconds) / segment_seconds)
 
-    asked = requests.select(
-        "product_id", segment(at).alias("_segment"), F.col(at).alias("_at"), F.struct(*requests.columns).alias("_request")
+    asked = requests.where(answerable).select(
+        "product_id", F.col(at).alias("_at"), F.struct(F.lit(True).alias("_asked"), *rest).alias("_request")
     )
-    offered = sold.select(
-        "product_id",
-        segment("shipping_limit_date").alias("_segment"),
-        F.col("shipping_limit_date").alias("_at"),
-        F.struct(*order).alias("_item"),
+    offered = items.where(sold).select(
+        "product_id", F.col("shipping_limit_date").alias("_at"), F.struct(*order[1:]).alias("_item")
     )
-    last = offered.groupBy("product_id", "_segment").agg(F.max("_item").alias("_item"))
-    places = last.unionByName(asked.select("product_id", "_segment").distinct(), allowMissingColumns=True)
-    places = places.groupBy("product_id", "_segment").agg(F.max("_item").alias("_item"))
+    counted = asked.select("product_id").unionByName(offered.select("product_id")).groupBy("product_id").count()
+    hot = F.broadcast(counted.where(F.col("count") > hot_rows).select("product_id", F.lit(True).alias("_hot")))
+
+    def placed(rows: DataFrame, how: str) -> DataFrame:
+        cut = F.when(F.col("_hot"), segment("_at"))
+        return rows.join(hot, "product_id", how).withColumn("_segment", cut).drop("_hot")
+
+    last = placed(offered, "inner").groupBy("product_id", "_segment").agg(F.max(F.struct("_at", "_item")).alias("_last"))
+    places = placed(asked, "inner").select("product_id", "_segment").distinct()
+    places = last.unionByName(places, allowMissingColumns=True)
+    places = places.groupBy("product_id", "_segment").agg(F.max("_last._item").alias("_item"))
     earlier = Window.partitionBy("product_id").orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
     carried = places.select("product_id", "_segment", F.last("_item", ignorenulls=True).over(earlier).alias("_item"))
 
     rows = carried.where(F.col("_item").isNotNull()).withColumn("_kind", F.lit(0))
-    rows = rows.unionByName(offered.withColumn("_kind", F.lit(2)), allowMissingColumns=True)
-    rows = rows.unionByName(asked.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
+    rows = rows.unionByName(placed(offered, "left").withColumn("_kind", F.lit(2)), allowMissingColumns=True)
+    rows = rows.unionByName(placed(asked, "left").withColumn("_kind", F.lit(1)), allowMissingColumns=True)
     # What is carried has no time and comes first; requests come before items of their time.
     so_far = Window.partitionBy("product_id", "_segment").orderBy(F.col("_at").asc_nulls_first(), "_kind", "_item")
     so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    known = F.when(F.col("product_id").isNotNull() & F.col("_at").isNotNull(), F.last("_item.price", ignorenulls=True).over(so_far))
-    found = rows.select("_request", known.alias("_price")).where(F.col("_request").isNotNull())
-    return found.select("_request.*", F.coalesce("_price", F.lit(default)).alias("price"))
+    price = F.coalesce(F.last("_item.price", ignorenulls=True).over(so_far), F.lit(default))
+    found = rows.select("product_id", "_at", "_request", price.alias("_price")).where(F.col("_request").isNotNull())
+    columns = {"product_id": F.col("product_id"), at: F.col("_at").alias(at)}
+    columns |= {c: F.col(f"_request.`{c}`") for c in rest}
+    found = found.select(*(columns[c] for c in requests.columns), F.col("_price").alias("price"))
+    return found.unionByName(requests.where(~answerable).withColumn("price", F.lit(default)))
