@@ -69,6 +69,61 @@ def test_equal_to_batches_over_restarts_copies_and_late_changes(spark, tmp_path,
     assert steps.where("weight < 0").count(), "no step was parted, the test is too easy"
 
 
+class Store:
+    """One key's state, and the calls made to it."""
+
+    def __init__(self):
+        self.values, self.calls, self.owner = {}, 0, self
+
+    def getValueState(self, name, *schemas):  # noqa: N802
+        part = Store()
+        part.owner = self
+        return part
+
+    getMapState = getValueState  # noqa: N815
+
+    def get(self):
+        return self.getValue(None)
+
+    def update(self, value):
+        self.updateValue(None, value)
+
+    def getValue(self, key):  # noqa: N802
+        self.owner.calls += 1
+        return self.values.get(key)
+
+    def containsKey(self, key):  # noqa: N802
+        self.owner.calls += 1
+        return key in self.values
+
+    def keys(self):
+        self.owner.calls += 1
+        return iter([k for k in self.values if k is not None])
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.owner.calls += 1
+        self.values[key] = value
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 5, None])
+def test_histories_in_chunks_equal_the_batch_rule(chunk):
+    columns = ["order_id", "lsn", "previous_status", "status", "is_first", "weight"]
+    processor, store = keyed.LifeCycle(columns, *([chunk] if chunk else [])), Store()
+    processor.init(store)
+    rows = [r for r in history(11) if r[0] is not None]
+    rows = [("a", *r[1:]) for r in rows]
+    shuffled, weights = [*rows, *rows[::5]], {}
+    random.Random(2).shuffle(shuffled)
+    for n in range(0, len(shuffled), 7):
+        batch = [{"position": r[3], "status": r[1], "gone": r[2] == "d"} for r in shuffled[n : n + 7]]
+        for found in processor.handleInputRows(("a",), iter(batch), None):
+            weights[tuple(found)[:-1]] = weights.get(tuple(found)[:-1], 0) + found[-1]
+    assert set(weights.values()) <= {0, 1}
+    assert {r for r, w in weights.items() if w} == illegal(rows)
+    # A change costs no call of its own: without the chunk size, two a batch.
+    assert chunk or store.calls <= 2 * -(-len(shuffled) // 7)
+
+
 def test_a_deleted_key_is_not_revived(spark, tmp_path):
     root = str(tmp_path)
     for rows in ([("a", "created", "c", 1), ("a", None, "d", 5)], [("a", "approved", "u", 3)], [("a", "created", "c", 9)]):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+import json
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
+from operator import itemgetter
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -57,22 +59,30 @@ class NewestImage(StatefulProcessor):
         pass
 
 
+#: Changes of a key that are read and written together; a chunk of twice as many is cut.
+CHUNK = 512
+
+
 class LifeCycle(StatefulProcessor):
     """Judges each step between neighbouring positions of a key, and takes back what a late change parts.
 
-    The history is a map in the state store from position to status, read
-    whole only when a late change needs its neighbours.
+    The history lies in the state store in chunks of neighbouring changes, by the position
+    the chunk starts at; the first has no start. Of a micro-batch only those chunks are read and
+    written that its changes fall into, and a neighbour of them at most. Calls to the store cost far
+    more than what is in them, and a key with few changes has one chunk.
     """
 
-    def __init__(self, columns: Sequence[str]):
+    def __init__(self, columns: Sequence[str], chunk: int = CHUNK):
         self.allowed = set(allowed_transitions())
         self.step = Row(*columns)
+        self.chunk = chunk
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "position bigint, status string, gone boolean")
-        self.history = handle.getMapState("history", "position bigint", "status string, gone boolean")
+        # JSON of [start, ...], of all chunks but the first, and [[position, status, gone], ...] of the first.
+        self.head = handle.getValueState("head", "starts string, steps string")
+        self.chunks = handle.getMapState("chunks", "start bigint", "steps string")
 
-    def judge(self, key, before: tuple | None, after: tuple, weight: int) -> Iterator[Row]:
+    def judge(self, key, before: Sequence | None, after: Sequence, weight: int) -> Iterator[Row]:
         """A row if the step from ``before`` to ``after`` (position, status, gone) is illegal."""
         position, status, gone = after
         if gone:
@@ -84,31 +94,50 @@ class LifeCycle(StatefulProcessor):
             yield self.step(*key, position, previous, status, is_first, weight)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        last, positions = self.last.get(), None
-        for row in sorted({row["position"]: row for row in rows}.values(), key=lambda row: row["position"]):
-            step = (row["position"], row["status"], row["gone"])
-            if last is None or step[0] > last[0]:
-                yield from self.judge(key, last, step, 1)
-                last = step
-                if positions is not None:
-                    positions.append(step[0])
-            elif self.history.containsKey(step[:1]):
+        head = self.head.get()
+        starts, first = (json.loads(head[0]), json.loads(head[1])) if head else ([], [])
+        # Chunk n begins at starts[n - 1].
+        read, changed = {0: first}, set()
+
+        def chunk(n: int) -> list[list]:
+            if n not in read:
+                read[n] = json.loads(self.chunks.getValue((starts[n - 1],))[0])
+            return read[n]
+
+        # Of copies the last one counts, as it always has.
+        news = {row[0]: [row[0], row[1], row[2]] for row in ((r["position"], r["status"], r["gone"]) for r in rows)}
+        for position in sorted(news):
+            n, step = bisect_right(starts, position), news[position]
+            steps = chunk(n)
+            at = bisect_left(steps, position, key=itemgetter(0))
+            if at < len(steps) and steps[at][0] == position:
                 continue
-            else:
-                if positions is None:
-                    positions = sorted(k[0] for k in self.history.keys())
-                at = bisect_left(positions, step[0])
-                before = self._step(positions[at - 1]) if at else None
-                after = self._step(positions[at])
+            before = steps[at - 1] if at else chunk(n - 1)[-1] if n else None
+            after = steps[at] if at < len(steps) else chunk(n + 1)[0] if n < len(starts) else None
+            if after is not None:
                 yield from self.judge(key, before, after, -1)
-                yield from self.judge(key, before, step, 1)
+            yield from self.judge(key, before, step, 1)
+            if after is not None:
                 yield from self.judge(key, step, after, 1)
-                insort(positions, step[0])
-            self.history.updateValue(step[:1], step[1:])
-        self.last.update(last)
-
-    def _step(self, position: int) -> tuple:
-        return (position, *self.history.getValue((position,)))
+            steps.insert(at, step)
+            changed.add(n)
+        if not changed:
+            return
+        added = []
+        for n in sorted(changed):
+            steps, start = read[n], starts[n - 1] if n else None
+            cuts = range(0, len(steps), self.chunk) if len(steps) >= 2 * self.chunk else [0]
+            for cut in cuts:
+                part = steps[cut : cut + self.chunk] if len(cuts) > 1 else steps
+                if cut:
+                    start = part[0][0]
+                    added.append(start)
+                if start is None:
+                    first = part
+                else:
+                    self.chunks.updateValue((start,), (json.dumps(part),))
+        if added or 0 in changed:
+            self.head.update((json.dumps(sorted([*starts, *added])), json.dumps(first)))
 
     def close(self) -> None:
         pass
@@ -152,7 +181,8 @@ def watch_life_cycles(
     are skipped, however late. A change that arrives behind later ones of its
     key is judged against its neighbours; a step it parts, reported before,
     comes again with weight -1. ``settled_steps`` sums the weights. Positions
-    and statuses of one key's changes in a micro-batch are sorted in memory.
+    and statuses of one key's changes in a micro-batch are sorted in memory, next to
+    the chunks of its history they fall into.
     """
     key_type = stream.schema[key].dataType
     steps = stream.select(
