@@ -233,7 +233,9 @@ def read_rolled_log(spark: SparkSession, root: str, schema: T.StructType, table:
     )
     folders = partition_folders(spark, f"{root}/batch=*/table=*", table)
     if not folders:
-        return spark.createDataFrame([], stored)
+        # A table without events is read from an empty folder, so that it has file metadata too.
+        make_folder(spark, f"{root}/_empty")
+        return spark.read.schema(stored).json(f"{root}/_empty")
     before = spark.conf.get(_LISTING, None)
     spark.conf.set(_LISTING, LISTING_TASKS)
     try:
