@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -123,9 +123,8 @@ def _numbers_from(spark: SparkSession, path: str, checkpoint: str, take_over: bo
     if (parts or entries) and not take_over:
         raise ValueError(f"{path} holds state of another checkpoint; pass take_over=True to go on from it")
     start = max([-1, *parts, *entries]) + 1
-    spark.createDataFrame([(query,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{path}/owner/{start:09d}"
-    )
+    entry = spark.range(1).select(F.lit(query).alias("value"))
+    entry.coalesce(1).write.mode("overwrite").text(f"{path}/owner/{start:09d}")
     return start
 
 
@@ -188,9 +187,17 @@ def read_state(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame
     return live(stored_state(spark, path, keys))
 
 
-#: Log positions in one segment: no more share a window or a join key.
+#: Log positions in one segment: no more share a window.
 SEEN_SEGMENT = 1 << 18
 
+#: Log positions in one block are 2 to this power: stored rows are picked for a comparison by blocks.
+BLOCK_BITS = 9
+
+#: So many blocks are broadcast; where there are more, Spark decides.
+FEW_BLOCKS = 500_000
+
+_SPANS = "segment bigint, first bigint, last bigint"
+
 
 def _islands(spans: DataFrame) -> DataFrame:
     """(segment, first, last): spans of log positions merged where they overlap or meet, per segment."""
@@ -203,10 +210,35 @@ def _islands(spans: DataFrame) -> DataFrame:
 
 
 def _positions(rows: DataFrame) -> DataFrame:
-    """Log positions of rows as spans of one."""
-    segment = F.floor(F.col("lsn") / SEEN_SEGMENT).alias("segment")
-    lsn = rows.where(F.col("lsn").isNotNull()).select("lsn").distinct()
-    return lsn.select(segment, F.col("lsn").alias("first"), F.col("lsn").alias("last"))
+    """Log positions of rows as spans of one, or of 64 where those are all there.
+
+    64 positions are the bits of one number, so a log without gaps shuffles a 64th of them.
+    """
+    lsn = rows.where(F.col("lsn").isNotNull()).select(F.col("lsn").cast("bigint").alias("lsn"))
+    bit = F.expr("shiftleft(1L, CAST(lsn & 63 AS INT))")
+    words = lsn.groupBy(F.shiftright("lsn", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    start = F.col("word") * 64
+
+    def span(first: Column, last: Column) -> Column:
+        return F.struct(first.alias("first"), last.alias("last"))
+
+    there = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit("bits", i) == 1)
+    spans = F.when(F.col("bits") == -1, F.array(span(start, start + 63))).otherwise(
+        F.transform(there, lambda i: span(start + i, start + i))
+    )
+    return words.select(F.floor(start / SEEN_SEGMENT).alias("segment"), F.inline(spans))
+
+
+def _common(one: DataFrame, other: DataFrame) -> DataFrame:
+    """(first, last): spans of the log positions that stand in both, each found once per pair of spans at most.
+
+    Of two spans that overlap, the one that begins later sees how far those of the other side have reached.
+    """
+    both = one.withColumn("side", F.lit(True)).unionByName(other.withColumn("side", F.lit(False)))
+    along = Window.partitionBy("segment").orderBy("first").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = [F.max(F.when(F.col("side") == side, F.col("last"))).over(along) for side in (True, False)]
+    met = both.withColumn("reached", F.when(F.col("side"), reached[1]).otherwise(reached[0]))
+    return met.where(F.col("reached") >= F.col("first")).select("first", F.least("last", "reached").alias("last"))
 
 
 def _seen(spark: SparkSession, path: str, number: int) -> tuple[int | None, list[str]]:
@@ -218,50 +250,65 @@ def _seen(spark: SparkSession, path: str, number: int) -> tuple[int | None, list
     return base, [f"{path}/seen/{f}" for f in folders]
 
 
-def _not_stored(inserts: DataFrame, path: str, number: int, identity: Sequence[str]) -> DataFrame:
-    """Those of ``inserts`` that no micro-batch before ``number`` has stored.
+def _near(spark: SparkSession, path: str, number: int, spans: DataFrame, placed: bool) -> DataFrame | None:
+    """Rows stored before micro-batch ``number`` in the blocks where its ``spans`` hold positions that were seen.
 
-    Rows at positions that were never seen are new; only the others, redeliveries
-    for the most part, are compared with stored rows, of which those between the
-    lowest and the highest such position are read.
+    Rows without a position are among them always, and all are where copies may
+    differ in position (not ``placed``). None if nothing is stored.
     """
-    spark = inserts.sparkSession
     stored = [n for n in finished_folders(spark, f"{path}/rows") if n < number]
     if not stored:
-        return inserts
+        return None
     rows = spark.read.parquet(*(f"{path}/rows/{n:09d}" for n in stored))
+    if not placed:
+        return rows
     _, folders = _seen(spark, path, number)
     if not folders:
         # Rows that were stored before positions were kept.
         folders = [f"{path}/seen/base/{stored[-1]:09d}"]
         _islands(_positions(rows)).write.mode("overwrite").parquet(*folders)
-    spans = spark.read.parquet(*folders).select(F.col("segment").alias("_segment"), F.col("first").alias("_first"), F.col("last").alias("_last"))
-    placed = inserts.withColumn("_segment", F.floor(F.col("lsn") / SEEN_SEGMENT))
-    met = (placed["_segment"] == spans["_segment"]) & placed["lsn"].between(spans["_first"], spans["_last"])
-    new = placed.where(F.col("lsn").isNotNull()).join(spans, met, "left_anti").drop("_segment")
-    again = placed.join(spans, met, "left_semi").drop("_segment")
-    again = again.unionByName(inserts.where(F.col("lsn").isNull()))
-    low, high = again.agg(F.min("lsn"), F.max("lsn")).first()
-    near = rows.where(F.col("lsn").isNull() if low is None else F.col("lsn").between(low, high) | F.col("lsn").isNull())
-    near = near.select(*(F.col(c).alias(f"_stored_{c}") for c in identity))
-    same = [F.col(c).eqNullSafe(F.col(f"_stored_{c}")) for c in identity]
-    return new.unionByName(again.join(near, same, "left_anti"))
+    again = _common(spans, spark.read.schema(_SPANS).parquet(*folders))
+    ends = [F.shiftright(c, BLOCK_BITS) for c in ("first", "last")]
+    low, high, count = again.agg(F.min("first"), F.max("last"), F.sum(ends[1] - ends[0] + 1)).first()
+    if low is None:
+        return rows.where(F.col("lsn").isNull())
+    blocks = again.select(F.explode(F.sequence(*ends)).alias("_block")).unionAll(
+        spark.range(1).select(F.lit(None).cast("bigint"))
+    )
+    near = rows.where(F.col("lsn").between(low, high) | F.col("lsn").isNull())
+    here = F.shiftright(F.col("lsn").cast("bigint"), BLOCK_BITS).eqNullSafe(F.col("_block"))
+    return near.join(F.broadcast(blocks) if count <= FEW_BLOCKS else blocks, here, "left_semi")
+
+
+def _not_stored(arrived: DataFrame, near: DataFrame | None, identity: Sequence[str]) -> DataFrame:
+    """One row per identity of ``arrived`` that is not among the stored rows ``near``, by one shuffle of both."""
+    if near is None:
+        return arrived.dropDuplicates(list(identity))
+    marked = arrived.withColumn("_stored", F.lit(False)).unionByName(
+        near.select(*identity).withColumn("_stored", F.lit(True)), allowMissingColumns=True
+    )
+    keys = {c.lower() for c in identity}
+    others = [F.first(c).alias(c) for c in arrived.columns if c.lower() not in keys]
+    found = marked.groupBy(*identity).agg(*others, F.max("_stored").alias("_stored"))
+    return found.where(~F.col("_stored")).select(*arrived.columns)
 
 
 def append_batch(batch: DataFrame, number: int, path: str, identity: Sequence[str] | None, compact_every: int = 20) -> None:
     """Store the inserts of one micro-batch that are not stored yet; repeating a batch changes nothing."""
     spark = batch.sparkSession
     identity = list(identity or batch.columns)
-    part = f"{path}/arrived/{number:09d}"
-    batch.where(F.col("op").isin("c", "r")).dropDuplicates(identity).write.mode("overwrite").parquet(part)
-    inserts = spark.read.schema(batch.schema).parquet(part)
-    _not_stored(inserts, path, number, identity).write.mode("overwrite").parquet(f"{path}/rows/{number:09d}")
-    _islands(_positions(inserts)).write.mode("overwrite").parquet(f"{path}/seen/delta/{number:09d}")
+    part, delta = f"{path}/arrived/{number:09d}", f"{path}/seen/delta/{number:09d}"
+    batch.where(F.col("op").isin("c", "r")).write.mode("overwrite").parquet(part)
+    arrived = spark.read.schema(batch.schema).parquet(part)
+    # Before the rows, so that none is ever stored at a position that counts as new.
+    _islands(_positions(arrived)).write.mode("overwrite").parquet(delta)
+    near = _near(spark, path, number, spark.read.schema(_SPANS).parquet(delta), "lsn" in map(str.lower, identity))
+    _not_stored(arrived, near, identity).write.mode("overwrite").parquet(f"{path}/rows/{number:09d}")
     delete_folder(spark, part)
     if (number + 1) % compact_every == 0:
         before, _ = _seen(spark, path, number)
         _, folders = _seen(spark, path, number + 1)
-        _islands(spark.read.parquet(*folders)).write.mode("overwrite").parquet(f"{path}/seen/base/{number:09d}")
+        _islands(spark.read.schema(_SPANS).parquet(*folders)).write.mode("overwrite").parquet(f"{path}/seen/base/{number:09d}")
         # What the base before this one was made of; that base stays for a repeat of this batch.
         for kind, outdated in (("base", lambda n: n < before), ("delta", lambda n: n <= before)):
             for n in finished_folders(spark, f"{path}/seen/{kind}") if before is not None else ():
@@ -283,8 +330,10 @@ def append_stream(
     included: rows of one insert share a position, so it does not do alone.
 
     Every insert is stored once, however late a copy comes. Positions that were
-    seen are kept as merged spans next to the rows; a batch looks its positions
-    up there, so only rows at known positions are compared with stored ones.
+    seen are kept as merged spans next to the rows. A batch meets its own spans
+    with those, and reads stored rows only in blocks where both have positions;
+    one shuffle compares them with its rows and these with each other. Without
+    position in ``identity``, every batch is compared with all stored rows.
     Rows of another checkpoint are kept and added to only with ``take_over``.
     """
     first: list[int] = []
